@@ -23,15 +23,13 @@ def parse_messages(
     if policy not in ("quarantine", "zero_fill"):
         raise ValueError(f"unknown policy {policy!r}")
     text = F.col(value).cast("string")
-    with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    parsed = df.withColumn(
-        "_data",
-        F.from_json(text, with_corrupt, {"columnNameOfCorruptRecord": CORRUPT}),
-    )
     others = [c for c in df.columns if c != value]
     fields = [F.col(f"_data.{f.name}").alias(f.name) for f in schema.fields]
     if policy == "zero_fill":
-        return parsed.select(*others, *fields)
+        return df.withColumn("_data", F.from_json(text, schema)).select(*others, *fields)
+    with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
+    options = {"columnNameOfCorruptRecord": CORRUPT}
+    parsed = df.withColumn("_data", F.from_json(text, with_corrupt, options))
     finite = F.lit(True)
     for f in schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
@@ -66,9 +64,10 @@ def normalize_probability(c: Column | str) -> Column:
     """
     text = F.col(c) if isinstance(c, str) else c
     # A quoted form is unwrapped by reading it as the one field of a wrapping object.
-    inner = F.coalesce(F.get_json_object(F.concat(F.lit('{"p":'), text, F.lit("}")), "$.p"), text)
-    return F.coalesce(
-        F.from_json(inner, "values array<double>").getField("values"),
-        F.from_json(inner, "array<double>"),
-        F.array(F.lit(0.0), F.lit(0.0)),
+    unwrapped = F.get_json_object(F.concat(F.lit('{"p":'), text, F.lit("}")), "$.p")
+    inner = F.when(F.startswith(text, F.lit('"')), unwrapped).otherwise(text)
+    start = F.substring(F.ltrim(inner), 1, 1)
+    pair = F.when(start == "{", F.from_json(inner, "values array<double>").getField("values")).when(
+        start == "[", F.from_json(inner, "array<double>")
     )
+    return F.coalesce(pair, F.array(F.lit(0.0), F.lit(0.0)))

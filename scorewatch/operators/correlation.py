@@ -6,16 +6,17 @@ from collections.abc import Iterator, Sequence
 from itertools import combinations_with_replacement
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorewatch.functions.columns import nan_to_null
 from scorewatch.operators.quality import long_form
 
-# Above this many columns the pair aggregates no longer fit one generated method and
-# the matrix form is faster.
-PAIRWISE_COLUMNS = 8
+# Above this many pairs the aggregates no longer fit one generated method, and the matrix
+# form is faster by an order of magnitude.
+JVM_PAIRS = 10
+SHIFT_ROWS = 1000
 
 _MOMENTS = "a int, b int, n double, sa double, sb double, saa double, sbb double, sab double"
 
@@ -27,45 +28,39 @@ def pair_correlation(x: Column | str, y: Column | str) -> Column:
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
 
 
-def _moment_sums(k: int):
+def _moment_sums(shift: np.ndarray):
     """Per-task sums of products over all column pairs, as matrix products."""
+    k = len(shift)
 
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, s, q, p = (np.zeros((k, k)) for _ in range(4))
         for batch in batches:
-            x = batch.to_numpy(dtype="float64", na_value=np.nan)
-            there = ~np.isnan(x)
-            x = np.where(there, x, 0.0)
-            there = there.astype("float64")
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]) - shift
+            missing = np.isnan(x)
+            x[missing] = 0.0
+            there = (~missing).astype("float64")
             n += there.T @ there
             s += x.T @ there
             q += (x * x).T @ there
             p += x.T @ x
         a, b = np.triu_indices(k)
-        yield pd.DataFrame(
-            {
-                "a": a.astype("int32"),
-                "b": b.astype("int32"),
-                "n": n[a, b],
-                "sa": s[a, b],
-                "sb": s[b, a],
-                "saa": q[a, b],
-                "sbb": q[b, a],
-                "sab": p[a, b],
-            }
-        )
+        moments = (n[a, b], s[a, b], s[b, a], q[a, b], q[b, a], p[a, b])
+        names = ("n", "sa", "sb", "saa", "sbb", "sab")
+        pairs = {"a": a.astype("int32"), "b": b.astype("int32")}
+        yield pa.RecordBatch.from_pydict(pairs | dict(zip(names, moments, strict=True)))
 
     return sums
 
 
 def _by_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    # Correlation does not change when a constant is taken off a column. Taking off the
-    # mean keeps the sums of squares from drowning the differences.
     values = df.select(*[nan_to_null(c).alias(f"c{i}") for i, c in enumerate(columns)])
-    means = values.agg(F.struct(*[F.avg(c).alias(c) for c in values.columns])).scalar()
-    centered = values.select(*[(F.col(c) - means.getField(c)).alias(c) for c in values.columns])
+    # Correlation does not change when a constant is taken off a column. Any value from
+    # within its range keeps the sums of squares from drowning the differences, so a few
+    # rows are enough to find one.
+    near = values.limit(SHIFT_ROWS).agg(*[F.avg(c).alias(c) for c in values.columns]).first()
+    shift = np.array([v if v is not None else 0.0 for v in near])
     sums = (
-        centered.mapInPandas(_moment_sums(len(columns)), _MOMENTS)
+        values.mapInArrow(_moment_sums(shift), _MOMENTS)
         .groupBy("a", "b")
         .agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
     )
@@ -87,15 +82,15 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], method: str = "auto") ->
     """Upper triangle with the diagonal, in long form (a, b, r).
 
     ``pairs`` is one JVM aggregation; ``matrix`` multiplies Arrow batches. Both read the
-    columns once per pass and shuffle only sums.
+    table once and shuffle only sums.
     """
+    pairs = list(combinations_with_replacement(columns, 2))
     if method == "auto":
-        method = "pairs" if len(columns) <= PAIRWISE_COLUMNS else "matrix"
+        method = "pairs" if len(pairs) <= JVM_PAIRS else "matrix"
     if method == "matrix":
         return _by_matrix(df, columns)
     if method != "pairs":
         raise ValueError(f"unknown method {method!r}")
-    pairs = list(combinations_with_replacement(columns, 2))
     one = df.agg(*[pair_correlation(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     rows = [
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
@@ -115,12 +110,17 @@ def full_matrix(upper: DataFrame) -> DataFrame:
 
 def label_correlation(df: DataFrame, columns: Sequence[str], label: str = "predicted_label") -> DataFrame:
     """Importance of features as |correlation| with the label, ranked, with the signed value."""
-    one = df.agg(*[pair_correlation(c, label).alias(c) for c in columns])
-    long = long_form(
-        one,
-        "feature",
-        {c: {"correlation": F.abs(c), "original_correlation": F.col(c)} for c in columns},
-    )
+    if len(columns) <= JVM_PAIRS:
+        one = df.agg(*[pair_correlation(c, label).alias(c) for c in columns])
+        signed = long_form(one, "feature", {c: {"original_correlation": F.col(c)} for c in columns})
+    else:
+        with_label = _by_matrix(df, [*columns, label]).filter(
+            (F.col("b") == label) & (F.col("a") != label)
+        )
+        signed = with_label.select(
+            F.col("a").alias("feature"), F.col("r").alias("original_correlation")
+        )
+    long = signed.select("feature", F.abs("original_correlation").alias("correlation"), "original_correlation")
     # One row per feature here, so a window without a key is no bottleneck.
     strongest = Window.orderBy(F.desc_nulls_last("correlation"), "feature")
     return long.withColumn("rank", F.row_number().over(strongest)).orderBy("correlation", "feature")

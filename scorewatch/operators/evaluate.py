@@ -62,12 +62,15 @@ def weighted_metrics(df: DataFrame, label: str = "label", prediction: str = "pre
 def positive_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Precision, recall (sensitivity), specificity and F1 of class 1; null where undefined."""
     is_pos, said_pos = F.col(label) == 1, F.col(prediction) == 1
-    known = df.filter(F.col(label).isNotNull() & F.col(prediction).isNotNull())
-    cells = known.agg(
-        F.count_if(is_pos & said_pos).alias("tp"),
-        F.count_if(~is_pos & said_pos).alias("fp"),
-        F.count_if(is_pos & ~said_pos).alias("fn"),
-        F.count_if(~is_pos & ~said_pos).alias("tn"),
+
+    def rows(which: Column) -> Column:
+        return F.sum(F.when(which, F.col("n")).otherwise(0))
+
+    cells = confusion(df, label, prediction).agg(
+        rows(is_pos & said_pos).alias("tp"),
+        rows(~is_pos & said_pos).alias("fp"),
+        rows(is_pos & ~said_pos).alias("fn"),
+        rows(~is_pos & ~said_pos).alias("tn"),
     )
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     return cells.select(
@@ -85,13 +88,15 @@ def _hits_by_score(
     s = nan_to_null(score)
     if bins is not None:
         s = F.floor(s * bins) / bins
-    known = df.filter(F.col(label).isNotNull()).select(
-        # Ascending order of the negated score is descending order of the score.
+    # Ascending order of the negated score is descending order of the score.
+    scored = df.select(
         (-s).alias("_down"),
         (F.col(label) == 1).cast("bigint").alias("_pos"),
         (F.col(label) != 1).cast("bigint").alias("_neg"),
-    ).filter(F.col("_down").isNotNull())
-    points = split_points(known, ["_down"], ranges)
+    )
+    # Counted before the filter, so that the count need not compute the scores.
+    points = split_points(scored, ["_down"], ranges)
+    known = scored.filter(F.col("_pos").isNotNull() & F.col("_down").isNotNull())
     grouped = known.groupBy("_down").agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"))
     return running_sums(
         grouped,
@@ -151,7 +156,11 @@ def evaluate(
     score: str | None = None,
     ranges: int | None = None,
 ) -> DataFrame:
-    """All metrics in long form (metric, value)."""
+    """All metrics in long form (metric, value).
+
+    The metrics of labels come from one confusion matrix, whose shuffle both halves of the
+    plan reuse; the area needs the rows by score and so a second pass.
+    """
     frames = [weighted_metrics(df, label, prediction), positive_metrics(df, label, prediction)]
     if score is not None:
         frames.append(area_under_roc(df, label, score, ranges))

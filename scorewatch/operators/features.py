@@ -45,24 +45,28 @@ def vector_columns(df: DataFrame, vector: str, names: Sequence[str]) -> DataFram
     return values.select(*others, *[F.get("_values", F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 
-def minmax_columns(df: DataFrame, columns: Sequence[str], fitted_on: DataFrame | None = None) -> DataFrame:
-    """Min-max scaling in plain column arithmetic.
+def fit_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """Smallest and largest value per column, in one pass: two numbers each reach the driver."""
+    found = df.agg(
+        *[F.min(nan_to_null(c)).alias(f"{c}_low") for c in columns],
+        *[F.max(nan_to_null(c)).alias(f"{c}_high") for c in columns],
+    ).first()
+    return {c: (found[f"{c}_low"], found[f"{c}_high"]) for c in columns}
 
-    The bounds are a scalar subquery of the same plan, so nothing passes the driver.
-    A constant column gives 0.5, as the ML scaler does.
+
+def minmax_columns(df: DataFrame, ranges: Mapping[str, tuple[float | None, float | None]]) -> DataFrame:
+    """Min-max scaling in plain column arithmetic, with ranges from :func:`fit_ranges`.
+
+    A constant column gives 0.5, as the ML scaler does; one without values gives null.
     """
-    source = df if fitted_on is None else fitted_on
-    bounds = source.agg(
-        F.struct(
-            *[F.min(nan_to_null(c)).alias(f"{c}_low") for c in columns],
-            *[F.max(nan_to_null(c)).alias(f"{c}_high") for c in columns],
-        )
-    ).scalar()
     scaled = {}
-    for c in columns:
-        low, high = bounds.getField(f"{c}_low"), bounds.getField(f"{c}_high")
-        ratio = F.try_divide(F.col(c) - low, high - low)
-        scaled[c] = F.when(high == low, F.lit(0.5)).otherwise(ratio)
+    for c, (low, high) in ranges.items():
+        if low is None or high is None:
+            scaled[c] = F.lit(None).cast("double")
+        elif low == high:
+            scaled[c] = F.when(F.col(c).isNotNull(), F.lit(0.5))
+        else:
+            scaled[c] = (F.col(c) - F.lit(low)) / F.lit(high - low)
     return df.withColumns(scaled)
 
 

@@ -16,6 +16,8 @@ from scorewatch.operators.features import assembler, scaler
 from scorewatch.sources.tables import from_rows
 from scorewatch.spec import FeatureSpec
 
+SMALL_FIT_ROWS = 10_000_000
+
 
 def split(
     df: DataFrame, train: float = 0.8, seed: int = 42, key: str | None = None, method: str = "hash"
@@ -42,14 +44,23 @@ def train(
 ) -> PipelineModel:
     """Fit assembler, scaler and logistic regression on the training rows only.
 
-    The scaler never sees test rows, and the label is never a feature.
+    The scaler never sees test rows, and the label is never a feature. A large table is
+    read as its files are split; the fit keeps its own compact copy between iterations. A
+    small one often comes as a single partition, so it is spread over the cores first.
     """
     stages = [
         assembler(spec, "error"),
         scaler(scale_kind),
         LogisticRegression(featuresCol="scaled_features", labelCol=spec.label, maxIter=max_iter),
     ]
-    return Pipeline(stages=stages).fit(df.select(*spec.features, spec.label))
+    rows = df.select(*spec.features, spec.label)
+    if rows.count() > SMALL_FIT_ROWS:
+        return Pipeline(stages=stages).fit(rows)
+    spread = rows.repartition(df.sparkSession.sparkContext.defaultParallelism).persist()
+    try:
+        return Pipeline(stages=stages).fit(spread)
+    finally:
+        spread.unpersist()
 
 
 def score(df: DataFrame, model: PipelineModel, spec: FeatureSpec) -> DataFrame:

@@ -37,7 +37,8 @@ def scored_lines(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_shipdate", *LINE_SPEC.features, line_label()
     )
-    scaled = features.minmax_columns(fill_missing(lines, LINE_SPEC.features), LINE_SPEC.features)
+    filled = fill_missing(lines, LINE_SPEC.features)
+    scaled = features.minmax_columns(filled, features.fit_ranges(filled, LINE_SPEC.features))
     scored = scaled.withColumn("p1", logistic(LINE_WEIGHTS, LINE_INTERCEPT))
     return scored.withColumn("predicted_label", F.when(F.col("p1") > 0.5, 1).otherwise(0))
 
