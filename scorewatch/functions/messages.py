@@ -15,7 +15,7 @@ def parse_messages(
 ) -> DataFrame:
     """Flatten a JSON value column by schema, beside the other columns of the message.
 
-    ``quarantine`` adds ``is_valid`` (false for a null message, text that is not JSON, a
+    ``quarantine`` adds ``is_valid`` (false for a null or blank message, text that is not JSON, a
     field of the wrong type, and NaN or infinite numbers) and the raw text of bad messages,
     so that they can be kept apart instead of being scored as a case of zeros.
     ``zero_fill`` parses alone: bad messages come out as nulls, for filling later.
@@ -35,7 +35,8 @@ def parse_messages(
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             c = F.col(f"_data.{f.name}")
             finite = finite & (c.isNull() | (~F.isnan(c) & (F.abs(c) != F.lit(float("inf")))))
-    valid = text.isNotNull() & F.col(f"_data.{CORRUPT}").isNull() & finite
+    # Blank text gives a null struct without a mark.
+    valid = F.col("_data").isNotNull() & F.col(f"_data.{CORRUPT}").isNull() & finite
     return parsed.select(
         *others, *fields, valid.alias(VALID), F.when(~valid, text).alias("raw_value")
     )
