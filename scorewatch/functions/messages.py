@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +54,12 @@ def split_valid(parsed: DataFrame, schema: T.StructType) -> tuple[DataFrame, Dat
     return good, bad
 
 
+def features_from_map(df: DataFrame, features: str, names: Sequence[str]) -> DataFrame:
+    """Flatten the map of a nested message to one column per feature, null where it has none."""
+    others = [c for c in df.columns if c != features]
+    return df.select(*others, *[F.try_element_at(features, F.lit(n)).alias(n) for n in names])
+
+
 def to_message(columns: list[str | Column]) -> Column:
     """One JSON string from the given columns. Probabilities go out as a plain array."""
     return F.to_json(F.struct(*columns))

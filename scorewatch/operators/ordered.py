@@ -2,25 +2,40 @@
 
 ``sum(...) OVER (PARTITION BY key ORDER BY ...)`` sorts every row of a key in one
 task, so a key with a third of the table stalls the job. Above
-``SINGLE_TASK_ROWS`` rows the functions here cut the order into ranges, run the
-window inside (key, range), and add what one summary row per (key, range) says
-about the ranges before. The result is the same; only the split of the work
-differs.
+``SINGLE_TASK_ROWS`` rows the functions here cut the order into ranges and run the
+window inside (key, range). What the earlier ranges of a key add up to, or their
+last row, is put in front of each range as one more row. The result is the same;
+only the split of the work differs.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SINGLE_TASK_ROWS = 1_000_000
 SAMPLE_PER_RANGE = 16
 
-_KEY = "_ordered_key"
+_X = "_ordered_x"
 _RANGE = "_ordered_range"
 _CUTS = "_ordered_cuts"
+_ROW = "_ordered_row"
+
+
+@dataclass(frozen=True)
+class Cuts:
+    """Tuples of the order columns at which to cut, ascending, each behind its number ``x``."""
+
+    order: tuple[str, ...]
+    schema: T.StructType
+    rows: tuple[Row, ...]
 
 
 def range_count(df: DataFrame) -> int:
@@ -28,14 +43,28 @@ def range_count(df: DataFrame) -> int:
     return max(64, min(4 * shuffle, 16_384))
 
 
-def split_points(df: DataFrame, order: Sequence[str], ranges: int | None = None) -> DataFrame | None:
-    """Cut points of the order columns, or None when one task can hold a whole key.
+def _as_number(df: DataFrame, name: str) -> Column:
+    """A double that grows with the column; the same for all values where there is none."""
+    c, dtype = F.col(name), df.schema[name].dataType
+    if isinstance(dtype, T.NumericType):
+        return c.cast("double")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        # From its parts, because a detour over UTC is not monotone where clocks change.
+        day = F.unix_date(F.to_date(c)) * F.lit(86_400.0)
+        return day + F.hour(c) * 3600 + F.minute(c) * 60 + F.extract(F.lit("SECOND"), c).cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c).cast("double")
+    return F.when(c.isNotNull(), F.lit(0.0))
+
+
+def split_points(df: DataFrame, order: Sequence[str], ranges: int | None = None) -> Cuts | None:
+    """Where to cut the order, or None when one task can hold a whole key.
 
     Whole tuples are cut, so many rows with one timestamp are still split by the
     tiebreak column. About SAMPLE_PER_RANGE rows per range reach the driver, whatever
     the size of the table. ``ranges`` forces the split on small data too.
     """
-    keys = df.select(*order)
+    keys = df.select(_as_number(df, order[0]).alias(_X), *order)
     rows = keys.count()
     if ranges is None:
         if rows <= SINGLE_TASK_ROWS:
@@ -46,27 +75,65 @@ def split_points(df: DataFrame, order: Sequence[str], ranges: int | None = None)
     # Sorted by Spark, so that nulls and NaN rank as they do in the window.
     drawn = sample.sort(*order).collect()
     step = max(1, len(drawn) // ranges)
-    return df.sparkSession.createDataFrame(drawn[step::step], keys.schema)
+    return Cuts(tuple(order), keys.schema, tuple(dict.fromkeys(drawn[step::step])))
 
 
-def _add_range(df: DataFrame, order: Sequence[str], points: DataFrame) -> DataFrame:
-    """Number each row by the cut points at or before it: a binary search in one array."""
-    cuts = points.agg(F.sort_array(F.collect_set(F.struct(*order)))).scalar()
+def _add_range(df: DataFrame, cuts: Cuts) -> DataFrame:
+    """Number each row by range, in order.
+
+    The first order column decides by a binary search over numbers. Only where several cuts
+    share its value are whole tuples searched.
+    """
+    xs = [r[_X] for r in cuts.rows]
+    finite = sorted({x for x in xs if x is not None and math.isfinite(x)})
+    # -1 for null, as nulls come first; NaN has a bucket after the last number.
+    numbered = df.withColumn(_X, _as_number(df, cuts.order[0]))
+    if finite:
+        splits = [-math.inf, *finite, math.inf]
+        bucketizer = Bucketizer(splits=splits, inputCol=_X, outputCol=_RANGE, handleInvalid="keep")
+        numbered = bucketizer.transform(numbered)
+    else:
+        numbered = numbered.withColumn(_RANGE, F.when(F.isnan(_X), 1).otherwise(0))
+    bucket = F.when(F.col(_X).isNull(), F.lit(-1)).otherwise(F.col(_RANGE)).cast("bigint")
+    numbered = numbered.withColumn(_RANGE, bucket).drop(_X)
+
+    def bucket_of(x: float | None) -> int:
+        if x is None:
+            return -1
+        if math.isnan(x):
+            return len(finite) + 1 if finite else 1
+        return sum(f <= x for f in finite)
+
+    shared = [x for x, n in Counter("nan" if x is not None and math.isnan(x) else x for x in xs).items() if n > 1]
+    if not shared:
+        return numbered
+    hot = sorted({bucket_of(math.nan if x == "nan" else x) for x in shared})
+    return _search_tuples(numbered, cuts, F.col(_RANGE).isin(hot))
+
+
+def _search_tuples(df: DataFrame, cuts: Cuts, where: Column) -> DataFrame:
+    order = list(cuts.order)
+    points = df.sparkSession.createDataFrame(cuts.rows, cuts.schema)
+    found_cuts = points.agg(F.sort_array(F.collect_set(F.struct(*order)))).scalar()
     row = F.struct(*[F.col(c) for c in order])
-    # 2^16 - 1 steps reach past the largest number of cut points split_points returns.
-    widths = F.array(*[F.lit(1 << i) for i in reversed(range(16))])
+    widths = F.array(*[F.lit(1 << i) for i in reversed(range(len(cuts.rows).bit_length()))])
 
     def step(found: Column, width: Column) -> Column:
         return F.when(F.get(F.col(_CUTS), found + width - 1) <= row, found + width).otherwise(found)
 
+    at = F.when(where, F.aggregate(widths, F.lit(0), step)).otherwise(0)
     # The array is projected first because a subquery may not stand inside a lambda.
-    return df.withColumn(_CUTS, cuts).withColumn(_RANGE, F.aggregate(widths, F.lit(0), step)).drop(_CUTS)
+    return (
+        df.withColumn(_CUTS, found_cuts)
+        .withColumn(_RANGE, F.col(_RANGE) * F.lit(1 << 20) + at)
+        .drop(_CUTS)
+    )
 
 
-def _add_key(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    # A struct compares null fields as equal, so null keys join without eqNullSafe,
-    # and the window and the join share one exchange.
-    return df.withColumn(_KEY, F.struct(*by, _RANGE))
+def _windows(by: Sequence[str], order: Sequence[str]):
+    """Inside a range behind its carried row; over the ranges of a key."""
+    inside = Window.partitionBy(*by, _RANGE).orderBy(_ROW, *order)
+    return inside, Window.partitionBy(*by).orderBy(_RANGE)
 
 
 def running_sums(
@@ -75,7 +142,7 @@ def running_sums(
     order: Sequence[str],
     sums: Mapping[str, str],
     totals: Mapping[str, str] | None = None,
-    points: DataFrame | None = None,
+    points: Cuts | None = None,
 ) -> DataFrame:
     """Add inclusive running sums, and per-key totals, over an ascending unique order.
 
@@ -90,25 +157,32 @@ def running_sums(
             {n: F.sum(c).over(ahead) for n, c in sums.items()}
             | {n: F.sum(c).over(whole) for n, c in totals.items()}
         )
-    ranged = _add_range(df, order, points)
-    earlier = Window.partitionBy(*by).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*by)
+    ranged = _add_range(df, points)
+    inside, over_ranges = _windows(by, order)
+    earlier = over_ranges.rowsBetween(Window.unboundedPreceding, -1)
     parts = ranged.groupBy(*by, _RANGE).agg(
         *[F.sum(c).alias(f"_s_{n}") for n, c in sums.items()],
         *[F.sum(c).alias(f"_t_{n}") for n, c in totals.items()],
     )
-    carried = _add_key(parts, by).select(
-        _KEY,
-        *[F.sum(f"_s_{n}").over(earlier).alias(f"_c_{n}") for n in sums],
-        *[F.sum(f"_t_{n}").over(whole).alias(n) for n in totals],
+    carried = parts.select(
+        *by,
+        _RANGE,
+        F.lit(0).alias(_ROW),
+        *[F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)).alias(f"_v_{n}") for n in sums],
+        *[F.sum(f"_t_{n}").over(Window.partitionBy(*by)).alias(f"_v_{n}") for n in totals],
+    )
+    # A total stands on the carried row alone, so its running sum is the total on every row.
+    rows = ranged.select(
+        "*",
+        F.lit(1).alias(_ROW),
+        *[F.col(c).alias(f"_v_{n}") for n, c in sums.items()],
+        *[(F.col(c) * 0).alias(f"_v_{n}") for n, c in totals.items()],
     )
-    inside = Window.partitionBy(_KEY).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = _add_key(ranged, by).withColumns({f"_l_{n}": F.sum(c).over(inside) for n, c in sums.items()})
-    return local.join(carried, _KEY).select(
-        *df.columns,
-        *[(F.col(f"_l_{n}") + F.coalesce(f"_c_{n}", F.lit(0))).alias(n) for n in sums],
-        *totals,
+    ahead = inside.rowsBetween(Window.unboundedPreceding, 0)
+    summed = rows.unionByName(carried, allowMissingColumns=True).select(
+        *df.columns, _ROW, *[F.sum(f"_v_{n}").over(ahead).alias(n) for n in [*sums, *totals]]
     )
+    return summed.filter(F.col(_ROW) == 1).drop(_ROW)
 
 
 def previous_row(
@@ -117,19 +191,20 @@ def previous_row(
     order: Sequence[str],
     columns: Sequence[str],
     into: str = "previous",
-    points: DataFrame | None = None,
+    points: Cuts | None = None,
 ) -> DataFrame:
     """Add a struct of the given columns of the row before, null on the first row of a key."""
     wanted = F.struct(*columns)
     if points is None:
         return df.withColumn(into, F.lag(wanted).over(Window.partitionBy(*by).orderBy(*order)))
-    ranged = _add_range(df, order, points)
+    ranged = _add_range(df, points)
+    inside, over_ranges = _windows(by, order)
     last = ranged.groupBy(*by, _RANGE).agg(F.max_by(wanted, F.struct(*order)).alias("_last"))
-    carried = _add_key(last, by).select(
-        _KEY, F.lag("_last").over(Window.partitionBy(*by).orderBy(_RANGE)).alias("_carried")
+    carried = last.select(
+        *by, _RANGE, F.lit(0).alias(_ROW), F.lag("_last").over(over_ranges).alias("_v")
     )
-    inside = Window.partitionBy(_KEY).orderBy(*order)
-    local = _add_key(ranged, by).withColumn("_inside", F.lag(wanted).over(inside))
-    return local.join(carried, _KEY).select(
-        *df.columns, F.coalesce("_inside", "_carried").alias(into)
+    rows = ranged.select("*", F.lit(1).alias(_ROW), wanted.alias("_v"))
+    seen = rows.unionByName(carried, allowMissingColumns=True).select(
+        *df.columns, _ROW, F.lag("_v").over(inside).alias(into)
     )
+    return seen.filter(F.col(_ROW) == 1).drop(_ROW)

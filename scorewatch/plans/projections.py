@@ -344,6 +344,46 @@ def message_round_trip(spark, sf_dir):
     return M.parse_messages(sent, schema, policy="zero_fill")
 
 
+_NESTED = T.StructType(
+    [
+        T.StructField("timestamp", T.StringType()),
+        T.StructField("patient_id", T.StringType()),
+        T.StructField("features", T.MapType(T.StringType(), T.DoubleType())),
+        T.StructField("prediction", T.IntegerType()),
+        T.StructField("prediction_probability", T.DoubleType()),
+    ]
+)
+
+
+@query(
+    "nested_messages",
+    f"""SELECT event_id, date_trunc('second', ts) AS ts, CAST(user_id AS VARCHAR) AS patient_id,
+          predicted_label AS prediction, round(p1, 6) AS prediction_probability, value,
+          CASE WHEN event_id % 3 <> 0 THEN k END AS k
+        FROM {SCORED_SQL}""",
+)
+def nested_messages(spark, sf_dir):
+    """Messages with a map of features, a third of them lacking one, sent and flattened."""
+    values = F.create_map(F.lit("value"), F.col("value"), F.lit("k"), F.col("k"))
+    known = F.when(F.col("event_id") % 3 == 0, F.map_filter(values, lambda n, _: n != "k")).otherwise(values)
+    sent = scored_events(spark, sf_dir).select(
+        "event_id",
+        M.to_message(
+            [
+                F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+                F.col("user_id").cast("string").alias("patient_id"),
+                known.alias("features"),
+                F.col("predicted_label").alias("prediction"),
+                F.round("p1", 6).alias("prediction_probability"),
+            ]
+        ).alias("value"),
+    )
+    good, _ = M.split_valid(M.parse_messages(sent, _NESTED), _NESTED)
+    flat = M.features_from_map(good, "features", ["value", "k"])
+    parsed = F.try_to_timestamp("timestamp", F.lit("yyyy-MM-dd HH:mm:ss"))
+    return flat.withColumn("ts", parsed.cast("timestamp_ntz")).drop("timestamp")
+
+
 @query(
     "read_scored_messages",
     f"""SELECT event_id,

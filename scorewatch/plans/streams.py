@@ -28,9 +28,7 @@ TIMEOUT = 3600
 def _scored_stream(spark, sf_dir):
     """The events table read as a stream, with the columns of a scored record."""
     schema = table(spark, sf_dir, "events").schema
-    events = read_stream(
-        spark, "files", sf_dir, "parquet", schema, max_files=1, glob="events.parquet"
-    )
+    events = read_stream(spark, "files", sf_dir, "parquet", schema, glob="events.parquet")
     return events.withColumn("predicted_label", F.when(F.col("value") > 30, 1).otherwise(0))
 
 
@@ -46,7 +44,7 @@ def _model(spark, sf_dir):
     return model.train(scored_events(spark, sf_dir), STREAM_SPEC)
 
 
-def _fan_out(spark, sf_dir):
+def _fan_out(spark, sf_dir, *wanted):
     root = scratch_folder(spark, "fan-out")
     fitted = _model(spark, sf_dir)
     scored = score_stream(_messages(_scored_stream(spark, sf_dir)), STREAM_SPEC, fitted)
@@ -55,7 +53,8 @@ def _fan_out(spark, sf_dir):
         "messages": message_sink(f"{root}/messages", STREAM_SPEC, ("event_id",)),
         "quarantine": quarantine_sink(f"{root}/quarantine", ("event_id",)),
     }
-    wait_for([fan_out(scored, sinks, f"{root}/checkpoint", trigger=None)], TIMEOUT)
+    chosen = {n: sinks[n] for n in wanted}
+    wait_for([fan_out(scored, chosen, f"{root}/checkpoint", trigger=None)], TIMEOUT)
     return root, fitted
 
 
@@ -64,8 +63,9 @@ def _fan_out(spark, sf_dir):
     f"SELECT event_id, value, k FROM {SCORED_SQL} WHERE event_id % 9 <> 0",
 )
 def stream_parsed_messages(spark, sf_dir):
-    """Feature values of the history that the scoring stream wrote: every good message, once."""
-    root, _ = _fan_out(spark, sf_dir)
+    """Feature values of the history that the scoring stream wrote beside two other sinks: every
+    good message, once."""
+    root, _ = _fan_out(spark, sf_dir, "history", "messages", "quarantine")
     return spark.read.parquet(f"{root}/history").select("event_id", "value", "k")
 
 
@@ -75,7 +75,7 @@ def stream_parsed_messages(spark, sf_dir):
 )
 def stream_equals_batch(spark, sf_dir):
     """Scores of the stream beside the scores of the same rows as a batch."""
-    root, fitted = _fan_out(spark, sf_dir)
+    root, fitted = _fan_out(spark, sf_dir, "history")
     by_stream = spark.read.parquet(f"{root}/history").select(
         "event_id", "predicted_label", F.col("malignant_probability").alias("p_stream")
     )
@@ -96,14 +96,14 @@ def stream_equals_batch(spark, sf_dir):
        FROM events WHERE event_id % 9 = 0""",
 )
 def stream_quarantine(spark, sf_dir):
-    root, _ = _fan_out(spark, sf_dir)
+    root, _ = _fan_out(spark, sf_dir, "quarantine")
     return spark.read.parquet(f"{root}/quarantine").select("event_id", "raw_value")
 
 
 @query("stream_scored_messages")
 def stream_scored_messages(spark, sf_dir):
     """Messages of the results topic, parsed again."""
-    root, _ = _fan_out(spark, sf_dir)
+    root, _ = _fan_out(spark, sf_dir, "messages")
     sent = spark.read.parquet(f"{root}/messages").select("event_id", "value")
     return read_scored(sent, STREAM_SPEC)
 

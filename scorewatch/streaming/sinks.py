@@ -28,13 +28,18 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
 
 
-def history_sink(path: str, spec: FeatureSpec, keep: tuple[str, ...] = ()) -> Sink:
-    """Scored rows with their processing time, by batch and day."""
+def history_sink(
+    path: str, spec: FeatureSpec, keep: tuple[str, ...] = (), files: int | None = None
+) -> Sink:
+    """Scored rows with their processing time, by batch and day.
+
+    ``files`` limits the files of a batch where short triggers would leave many small ones.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         stamped = with_processed_at(_valid(batch)).withColumn("date", F.to_date("timestamp"))
-        columns = ["timestamp", *keep, *SCORES, *spec.features, "date"]
-        write_batch(stamped.select(*columns), path, batch_id, ["date"])
+        rows = stamped.select("timestamp", *keep, *SCORES, *spec.features, "date")
+        write_batch(rows if files is None else rows.coalesce(files), path, batch_id, ["date"])
 
     return write
 

@@ -1,6 +1,7 @@
 """The split forms of ordered work against brute force, on skewed data."""
 
 import random
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,8 +67,30 @@ def test_previous_row(spark, ranges, seed):
 def test_split_cuts_a_hot_value_by_its_tiebreak(spark):
     df = spark.range(10_000).select(F.lit(1).alias("ts"), F.col("id"))
     points = split_points(df, ["ts", "id"], 20)
-    assert points.count() >= 19
-    assert points.select("id").distinct().count() == points.count()
+    assert len({r.id for r in points.rows}) >= 19
+
+
+@pytest.mark.parametrize(
+    ("dtype", "values"),
+    [
+        ("double", [float("nan")] * 40 + [None] * 40 + [float("-inf"), float("inf")] * 5 + [0.5, -2.0] * 20),
+        ("string", ["a", "b", None, "c", "a"] * 20),
+        ("timestamp_ntz", [datetime(2024, 3, 31, h, 30, 0, us) for h in range(5) for us in range(20)]),
+        ("timestamp", [datetime(2024, 1, 1, 0, 0, 0, us % 3) for us in range(100)]),
+        ("date", [date(2024, 1, 1 + d % 9) for d in range(100)]),
+        ("double", [float("nan")] * 50),
+        ("bigint", [2**60 + i % 4 for i in range(80)]),
+    ],
+)
+@pytest.mark.parametrize("ranges", [3, 40])
+def test_every_order_type(spark, dtype, values, ranges):
+    """The split form numbers rows as a plain window does, whatever the type of the order."""
+    df = spark.createDataFrame([(v, i, 1) for i, v in enumerate(values)], f"o {dtype}, id int, one int")
+    df = df.repartition(3)
+    order = ["o", "id"]
+    cut = running_sums(df, [], order, {"rank": "one"}, points=split_points(df, order, ranges))
+    plain = running_sums(df, [], order, {"rank": "one"})
+    assert {r.id: r["rank"] for r in cut.collect()} == {r.id: r["rank"] for r in plain.collect()}
 
 
 def test_small_tables_are_not_split(spark):

@@ -66,20 +66,11 @@ def test_split_work_never_sorts_a_whole_key(spark, sf_dir):
     scored = scored_events(spark, sf_dir)
     plan = plan_of(series.with_delta(scored, ["event_type"], ["ts", "event_id"], "value", ranges=8))
     windows = re.findall(r"Window \[.*?\], \[([^\]]*)\], \[", plan)
-    # One inside (key, range), one over a summary row per (key, range).
-    assert len(windows) == 2 and any("_ordered_key" in w for w in windows)
-
-
-def test_split_window_and_join_share_one_exchange(spark, sf_dir):
-    scored = scored_events(spark, sf_dir)
-    out = series.with_delta(scored, ["event_type"], ["ts", "event_id"], "value", ranges=8)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = plan_of(out)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # The rows once by (key, range); the summaries by (key, range), by key, and to the join.
-    assert plan.count("Exchange hashpartitioning") == 4
+    # One inside (key, range), one over a summary row per (key, range); no join of rows.
+    assert len(windows) == 2 and sum("_ordered_range" in w for w in windows) == 1
+    assert "Join" not in plan
+    # The rows once, by (key, range); the summaries by (key, range) and by key.
+    assert plan.count("Exchange hashpartitioning") == 3
 
 
 def test_totals_use_partial_aggregates(spark, sf_dir):
