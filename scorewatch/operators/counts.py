@@ -98,12 +98,14 @@ def hourly_pattern(
 
 def cohort_counts(df: DataFrame, dims: Sequence[str], totals: str | None = None) -> DataFrame:
     """Rows per combination of dimensions; ``totals`` may be "rollup" or "cube"."""
+    cells = df.groupBy(*dims).agg(F.count(F.lit(1)).alias("n"))
     if totals is None:
-        return df.groupBy(*dims).agg(F.count(F.lit(1)).alias("n"))
+        return cells
     if totals not in ("rollup", "cube"):
         raise ValueError(f"unknown totals {totals!r}")
-    grouped = df.rollup(*dims) if totals == "rollup" else df.cube(*dims)
-    return grouped.agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("grouping_set"))
+    # The counted cells are expanded into the grouping sets, not the rows.
+    grouped = cells.rollup(*dims) if totals == "rollup" else cells.cube(*dims)
+    return grouped.agg(F.sum("n").alias("n"), F.grouping_id().alias("grouping_set"))
 
 
 def percent_outside(

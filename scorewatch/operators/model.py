@@ -7,8 +7,9 @@ from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import MinMaxScalerModel, StandardScalerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewatch.operators.clean import fill_missing
@@ -63,12 +64,54 @@ def train(
         spread.unpersist()
 
 
+def _scaled(model: MinMaxScalerModel | StandardScalerModel, spec: FeatureSpec) -> list[Column]:
+    """The fitted scaler as column arithmetic, one column per feature."""
+    if isinstance(model, StandardScalerModel):
+        deviations = model.std.toArray()
+        return [
+            F.col(f) * F.lit(1.0 / float(d) if d > 0 else 0.0)
+            for f, d in zip(spec.features, deviations, strict=True)
+        ]
+    columns = []
+    bounds = zip(spec.features, model.originalMin.toArray(), model.originalMax.toArray(), strict=True)
+    for f, low, high in bounds:
+        if high == low:
+            columns.append(F.when(F.isnan(f), F.col(f)).otherwise(0.5))
+        else:
+            columns.append((F.col(f) - F.lit(float(low))) * F.lit(1.0 / float(high - low)))
+    return columns
+
+
 def score(df: DataFrame, model: PipelineModel, spec: FeatureSpec) -> DataFrame:
     """Add label and both probabilities; the same function for batches and streams.
 
+    The fitted scaler and classifier become column arithmetic with their numbers as
+    literals, so that a row is scored in generated code and no vector is built.
+    :func:`score_by_stages` gives the same through the stages.
+
     Null features count as 0.0. NaN passes through and gives NaN probabilities with label
     0, so keep such rows apart first (``functions.messages.parse_messages``).
     """
+    _, fitted_scaler, classifier = model.stages
+    weights = classifier.coefficients.toArray()
+    terms = zip(_scaled(fitted_scaler, spec), weights, strict=True)
+    margin = sum((c * F.lit(float(w)) for c, w in terms), F.lit(float(classifier.intercept)))
+    filled = fill_missing(df, spec.features).withColumn("_margin", margin)
+    p1 = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_margin")))
+    scored = filled.withColumn("malignant_probability", p1)
+    p1 = F.col("malignant_probability")
+    # NaN is greater than any number in Spark, so it needs its own test.
+    positive = ~F.isnan(p1) & (p1 > F.lit(float(classifier.getThreshold())))
+    return scored.select(
+        *df.columns,
+        F.when(positive, 1).otherwise(0).alias("predicted_label"),
+        (F.lit(1.0) - p1).alias("benign_probability"),
+        "malignant_probability",
+    )
+
+
+def score_by_stages(df: DataFrame, model: PipelineModel, spec: FeatureSpec) -> DataFrame:
+    """The same through the transform of every stage, for fitted stages of other kinds."""
     assembling = model.stages[0].copy()
     assembling.setHandleInvalid("keep")
     vectors = assembling.transform(fill_missing(df, spec.features))

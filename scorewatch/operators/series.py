@@ -73,9 +73,8 @@ def recent(df: DataFrame, n: int, order: Sequence[str], columns: Sequence[str])
 
 
 def latest(df: DataFrame, order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """The last row, overall or per key: an aggregate, so a key is never sorted."""
-    row = F.max_by(F.struct(*df.columns), F.struct(*order))
-    return df.groupBy(*by).agg(row.alias("_row")).filter("_row is not null").select("_row.*")
+    """The last row, overall or per key."""
+    return last_n(df, 1, order, by)
 
 
 def since(df: DataFrame, order: Sequence[str], last_seen: Sequence[object]) -> DataFrame:

@@ -75,6 +75,23 @@ def test_score_adds_label_and_probabilities(spark, fitted):
     assert all(r.benign_probability + r.malignant_probability == pytest.approx(1) for r in found)
 
 
+@pytest.mark.parametrize("kind", ["minmax", "standard"])
+def test_arithmetic_equals_the_stages(spark, kind):
+    spec = FeatureSpec(("a", "b", "constant"), "label")
+    rng = random.Random(8)
+    rows = [(rng.random() * 100, rng.gauss(0, 1), 3.0, rng.randrange(2)) for _ in range(300)]
+    schema = "a double, b double, constant double, label int"
+    fitted = model.train(spark.createDataFrame(rows, schema), spec, scale_kind=kind)
+    nan = float("nan")
+    extra = [(None, 1.0, 3.0, 0), (nan, 1.0, 3.0, 0), (1.0, 1.0, nan, 0), (-1e9, 5.0, 4.0, 0), (1e9, None, None, 1)]
+    df = spark.createDataFrame(rows + extra, schema).coalesce(1)
+    ours, theirs = model.score(df, fitted, spec), model.score_by_stages(df, fitted, spec)
+    assert ours.columns == theirs.columns and ours.dtypes == theirs.dtypes
+    for a, b in zip(ours.collect(), theirs.collect(), strict=True):
+        assert list(a)[:5] == pytest.approx(list(b)[:5], nan_ok=True)
+        assert list(a)[5:] == pytest.approx(list(b)[5:], abs=1e-12, nan_ok=True)
+
+
 def test_nan_scores_as_negative_with_nan_probability(spark, fitted):
     r = model.score_rows(spark, [(float("nan"), 0.9)], fitted[0], SPEC).first()
     assert r.predicted_label == 0 and math.isnan(r.malignant_probability)
