@@ -4,8 +4,9 @@
 task, so a key with a third of the table stalls the job. Above
 ``SINGLE_TASK_ROWS`` rows the functions here cut the order into ranges and run the
 window inside (key, range). What the earlier ranges of a key add up to, or their
-last row, is put in front of each range as one more row. The result is the same;
-only the split of the work differs.
+last row, is put in front of each range as one more row. Only keys with more than a
+range's worth of rows are cut; the others stay whole. The result is the same; only
+the split of the work differs.
 """
 
 from __future__ import annotations
@@ -26,16 +27,20 @@ SAMPLE_PER_RANGE = 16
 _X = "_ordered_x"
 _RANGE = "_ordered_range"
 _CUTS = "_ordered_cuts"
+_HOT = "_ordered_hot"
 _ROW = "_ordered_row"
 
 
 @dataclass(frozen=True)
 class Cuts:
-    """Tuples of the order columns at which to cut, ascending, each behind its number ``x``."""
+    """Tuples of the order columns at which to cut, ascending, each behind its number ``x``,
+    and the keys to cut: at most one per range."""
 
     order: tuple[str, ...]
     schema: T.StructType
     rows: tuple[Row, ...]
+    key_schema: T.StructType
+    hot: tuple[Row, ...]
 
 
 def range_count(df: DataFrame) -> int:
@@ -57,25 +62,42 @@ def _as_number(df: DataFrame, name: str) -> Column:
     return F.when(c.isNotNull(), F.lit(0.0))
 
 
-def split_points(df: DataFrame, order: Sequence[str], ranges: int | None = None) -> Cuts | None:
-    """Where to cut the order, or None when one task can hold a whole key.
+def _key_of(by: Sequence[str]) -> Column:
+    # A struct compares null fields as equal, so that rows without a key are one key.
+    return F.struct(F.lit(0).alias("_0"), *by)
+
+
+def split_points(
+    df: DataFrame, order: Sequence[str], ranges: int | None = None, by: Sequence[str] = ()
+) -> Cuts | None:
+    """Where to cut the order and which keys, or None when one task can hold a whole key.
 
     Whole tuples are cut, so many rows with one timestamp are still split by the
     tiebreak column. About SAMPLE_PER_RANGE rows per range reach the driver, whatever
     the size of the table. ``ranges`` forces the split on small data too.
     """
-    keys = df.select(_as_number(df, order[0]).alias(_X), *order)
-    rows = keys.count()
+    numbers = df.select(_as_number(df, order[0]).alias(_X), *order)
+    rows = numbers.count()
     if ranges is None:
         if rows <= SINGLE_TASK_ROWS:
             return None
         ranges = range_count(df)
     wanted = SAMPLE_PER_RANGE * ranges
-    sample = keys if rows <= wanted else keys.sample(fraction=wanted / rows, seed=17)
+    both = df.select(
+        F.struct(_as_number(df, order[0]).alias(_X), *order).alias("at"), _key_of(by).alias("key")
+    )
+    sample = both if rows <= wanted else both.sample(fraction=wanted / rows, seed=17)
     # Sorted by Spark, so that nulls and NaN rank as they do in the window.
-    drawn = sample.sort(*order).collect()
+    drawn = sample.sort(*[f"at.{c}" for c in order]).collect()
     step = max(1, len(drawn) // ranges)
-    return Cuts(tuple(order), keys.schema, tuple(dict.fromkeys(drawn[step::step])))
+    counted = Counter(r["key"] for r in drawn)
+    return Cuts(
+        tuple(order),
+        numbers.schema,
+        tuple(dict.fromkeys(r["at"] for r in drawn[step::step])),
+        both.schema["key"].dataType,
+        tuple(k for k, n in counted.items() if n >= step),
+    )
 
 
 def _add_range(df: DataFrame, cuts: Cuts) -> DataFrame:
@@ -130,6 +152,22 @@ def _search_tuples(df: DataFrame, cuts: Cuts, where: Column) -> DataFrame:
     )
 
 
+def _cut(df: DataFrame, by: Sequence[str], cuts: Cuts) -> tuple[DataFrame, DataFrame]:
+    """The rows with their range, 0 for keys that stay whole; and the rows of the other keys."""
+    spark = df.sparkSession
+    if not by:
+        ranged = _add_range(df, cuts)
+        return ranged, ranged
+    # As many rows as there are ranges at most, so the broadcast has a fixed bound.
+    keys = spark.createDataFrame([(k,) for k in cuts.hot], T.StructType([T.StructField(_HOT, cuts.key_schema)]))
+    hot_keys = F.broadcast(keys)
+    is_hot = _key_of(by) == F.col(_HOT)
+    marked = _add_range(df.join(hot_keys, is_hot, "left"), cuts)
+    whole = F.when(F.col(_HOT).isNotNull(), F.col(_RANGE)).otherwise(F.lit(0).cast("bigint"))
+    hot_rows = _add_range(df.join(hot_keys, is_hot, "left_semi"), cuts)
+    return marked.withColumn(_RANGE, whole).drop(_HOT), hot_rows
+
+
 def _windows(by: Sequence[str], order: Sequence[str]):
     """Inside a range behind its carried row; over the ranges of a key."""
     inside = Window.partitionBy(*by, _RANGE).orderBy(_ROW, *order)
@@ -157,10 +195,10 @@ def running_sums(
             {n: F.sum(c).over(ahead) for n, c in sums.items()}
             | {n: F.sum(c).over(whole) for n, c in totals.items()}
         )
-    ranged = _add_range(df, points)
+    ranged, to_carry = _cut(df, by, points)
     inside, over_ranges = _windows(by, order)
     earlier = over_ranges.rowsBetween(Window.unboundedPreceding, -1)
-    parts = ranged.groupBy(*by, _RANGE).agg(
+    parts = to_carry.groupBy(*by, _RANGE).agg(
         *[F.sum(c).alias(f"_s_{n}") for n, c in sums.items()],
         *[F.sum(c).alias(f"_t_{n}") for n, c in totals.items()],
     )
@@ -171,16 +209,26 @@ def running_sums(
         *[F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)).alias(f"_v_{n}") for n in sums],
         *[F.sum(f"_t_{n}").over(Window.partitionBy(*by)).alias(f"_v_{n}") for n in totals],
     )
-    # A total stands on the carried row alone, so its running sum is the total on every row.
     rows = ranged.select(
         "*",
         F.lit(1).alias(_ROW),
         *[F.col(c).alias(f"_v_{n}") for n, c in sums.items()],
-        *[(F.col(c) * 0).alias(f"_v_{n}") for n, c in totals.items()],
+        *[F.col(c).alias(f"_v_{n}") for n, c in totals.items()],
     )
     ahead = inside.rowsBetween(Window.unboundedPreceding, 0)
+    here = Window.partitionBy(*by, _RANGE)
+    # A carried row holds the total of its key; without one the key is whole in its range.
+    carries = F.max(F.when(F.col(_ROW) == 0, F.lit(1))).over(here)
     summed = rows.unionByName(carried, allowMissingColumns=True).select(
-        *df.columns, _ROW, *[F.sum(f"_v_{n}").over(ahead).alias(n) for n in [*sums, *totals]]
+        *df.columns,
+        _ROW,
+        *[F.sum(f"_v_{n}").over(ahead).alias(n) for n in sums],
+        *[
+            F.when(carries == 1, F.max(F.when(F.col(_ROW) == 0, F.col(f"_v_{n}"))).over(here))
+            .otherwise(F.sum(f"_v_{n}").over(here))
+            .alias(n)
+            for n in totals
+        ],
     )
     return summed.filter(F.col(_ROW) == 1).drop(_ROW)
 
@@ -197,9 +245,9 @@ def previous_row(
     wanted = F.struct(*columns)
     if points is None:
         return df.withColumn(into, F.lag(wanted).over(Window.partitionBy(*by).orderBy(*order)))
-    ranged = _add_range(df, points)
+    ranged, to_carry = _cut(df, by, points)
     inside, over_ranges = _windows(by, order)
-    last = ranged.groupBy(*by, _RANGE).agg(F.max_by(wanted, F.struct(*order)).alias("_last"))
+    last = to_carry.groupBy(*by, _RANGE).agg(F.max_by(wanted, F.struct(*order)).alias("_last"))
     carried = last.select(
         *by, _RANGE, F.lit(0).alias(_ROW), F.lag("_last").over(over_ranges).alias("_v")
     )

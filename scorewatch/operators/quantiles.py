@@ -41,11 +41,8 @@ def quantiles(
     of any size is spread over tasks. ``percentile`` would keep every distinct value of
     a group in the memory of one.
     """
-    points = split_points(
-        df.select(nan_to_null(column).alias("_value")).filter(F.col("_value").isNotNull()),
-        ["_value"],
-        ranges,
-    )
+    values = df.select(*by, nan_to_null(column).alias("_value"))
+    points = split_points(values, ["_value"], ranges, by)
     counts = _value_counts(df, column, by)
     ranked = running_sums(counts, by, ["_value"], {"_seen": "_n"}, {"_total": "_n"}, points)
     position = {n: F.lit(p) * (F.col("_total") - 1) for n, p in probabilities.items()}

@@ -31,7 +31,7 @@ def cumulative_counts(
         kept = kept.withColumn(ts, _same_type(df, ts, F.date_trunc(grain, ts)))
     # Hours and longer periods are few whatever the number of rows.
     few = grain in COARSE_GRAINS and ranges is None
-    points = None if few else split_points(kept, [ts], ranges)
+    points = None if few else split_points(kept, [ts], ranges, [label])
     counted = kept.groupBy(label, ts).agg(F.count(F.lit(1)).alias("n"))
     return running_sums(counted, [label], [ts], {"cumulative": "n"}, points=points)
 
@@ -40,7 +40,7 @@ def dedup_consecutive(
     df: DataFrame, ts: str, order: Sequence[str], by: Sequence[str] = (), ranges: int | None = None
 ) -> DataFrame:
     """Drop a record whose timestamp equals that of the record before it in ``order``."""
-    points = split_points(df, order, ranges)
+    points = split_points(df, order, ranges, by)
     seen = previous_row(df, by, order, [ts], "_before", points)
     keep = F.col("_before").isNull() | ~F.col(ts).eqNullSafe(F.col("_before").getField(ts))
     return seen.filter(keep).drop("_before")
@@ -94,7 +94,7 @@ def with_delta(
     df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, ranges: int | None = None
 ) -> DataFrame:
     """Add the change from the previous reading of the same key, null on the first."""
-    points = split_points(df, order, ranges)
+    points = split_points(df, order, ranges, by)
     seen = previous_row(df, by, order, [value], "_before", points)
     change = F.col(value) - F.col("_before").getField(value)
     return seen.withColumn("delta", change).drop("_before")
@@ -141,7 +141,7 @@ def capped_cumsum(
     Equal to capping after every step because increments are not negative; a negative one
     raises. A missing increment adds nothing.
     """
-    points = split_points(df, order, ranges)
+    points = split_points(df, order, ranges, by)
     checked = F.when(
         F.col(increment) < 0, F.raise_error(F.lit("increments must not be negative")).cast("double")
     ).otherwise(F.coalesce(F.col(increment).cast("double"), F.lit(0.0)))

@@ -39,7 +39,7 @@ def ordered(rows):
 def test_running_sums(spark, ranges, seed):
     rows = skewed_rows(seed)
     df = frame(spark, rows)
-    points = None if ranges is None else split_points(df, ["ts", "id"], ranges)
+    points = None if ranges is None else split_points(df, ["ts", "id"], ranges, ["key"])
     found = running_sums(df, ["key"], ["ts", "id"], {"seen": "v"}, {"all": "v"}, points)
     expected = {}
     for group in ordered(rows).values():
@@ -55,7 +55,7 @@ def test_running_sums(spark, ranges, seed):
 def test_previous_row(spark, ranges, seed):
     rows = skewed_rows(seed)
     df = frame(spark, rows)
-    points = None if ranges is None else split_points(df, ["ts", "id"], ranges)
+    points = None if ranges is None else split_points(df, ["ts", "id"], ranges, ["key"])
     found = previous_row(df, ["key"], ["ts", "id"], ["id", "ts"], "before", points)
     expected = {}
     for group in ordered(rows).values():
