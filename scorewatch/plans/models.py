@@ -198,7 +198,7 @@ def radar(spark, sf_dir):
 @query(
     "split_by_key",
     f"""SELECT CASE WHEN l_orderkey % 100 < 80 THEN 'train' ELSE 'test' END AS side, count(*) AS n,
-          sum(label) AS positives FROM {FEATURES_SQL} GROUP BY 1""",
+          CAST(sum(label) AS BIGINT) AS positives FROM {FEATURES_SQL} GROUP BY 1""",
 )
 def split_by_key(spark, sf_dir):
     first, second = model.split(feature_table(spark, sf_dir), 0.8, key="l_orderkey", method="mod")

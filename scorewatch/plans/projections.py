@@ -387,7 +387,7 @@ def nested_messages(spark, sf_dir):
 @query(
     "read_scored_messages",
     f"""SELECT event_id,
-          CASE WHEN event_id % 11 = 0 THEN 0.0 ELSE predicted_label END AS predicted_label,
+          CAST(CASE WHEN event_id % 11 = 0 THEN 0 ELSE predicted_label END AS DOUBLE) AS predicted_label,
           CASE WHEN event_id % 11 = 0 OR event_id % 5 = 4 THEN 0.0 ELSE round(p0, 6) END AS benign_probability,
           CASE WHEN event_id % 11 = 0 OR event_id % 5 = 4 THEN 0.0 ELSE round(p1, 6) END AS malignant_probability,
           CASE WHEN event_id % 11 = 0 THEN 0.0 ELSE value END AS value,

@@ -22,6 +22,13 @@ def test_gives_rows(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 
 
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_sql_types_have_a_spark_form(duck, name):
+    """Sums of integers and fixed decimals would differ from Spark by type alone."""
+    types = {r[1] for r in duck.execute("DESCRIBE " + ORACLES[name]).fetchall()}
+    assert types <= {"BIGINT", "INTEGER", "DOUBLE", "VARCHAR", "BOOLEAN", "TIMESTAMP"}
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0
 
