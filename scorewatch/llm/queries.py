@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewatch.llm import bpe, language, licenses, repetition, substrings
+from scorewatch.llm import bpe, language, licenses, minhash, repetition, substrings
 from scorewatch.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -29,6 +29,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+
+
 @query
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.deduplicate(table(spark, sf_dir, "documents"))
