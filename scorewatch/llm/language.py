@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +31,8 @@ UNKNOWN = "und"
 MAX_TEXTS = 4_000
 MAX_TERMS = 200_000
 LONGEST, BACKOFF = 5, 0.4
-#: Unseen words kept with their scores in one Python worker.
-MEMO = 100_000
+#: Unseen words kept with their rows in one task, and texts scored between two results.
+MEMO, ROWS = 300_000, 500
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -50,44 +50,63 @@ def ngrams(word: str, n: int) -> list[str]:
 
 @dataclass
 class LanguageModel:
-    """Log frequencies: words[w] and grams[g] are rows with one number per language."""
+    """Log frequencies by language: rows of `table`, found by word or by n-gram."""
 
     languages: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[str, np.ndarray]
+    words: dict[str, int]
+    grams: dict[str, int]
+    table: np.ndarray
     floor: np.ndarray
-    memo: dict[str, np.ndarray] = field(default_factory=dict)
 
-    def unseen(self, word: str) -> np.ndarray:
-        """Mean over the n-grams of the greatest length that is known, less the discounts."""
+    def unseen(self, words: list[str]) -> np.ndarray:
+        """A row for each word: the mean over its n-grams of the greatest length that is
+        known, less the discounts; the floor if none is known."""
+        out = np.tile(self.floor, (len(words), 1))
+        left = list(range(len(words)))
         for n in range(LONGEST, 0, -1):
-            found = [self.grams[g] for g in ngrams(word, n) if g in self.grams]
-            if found:
-                return np.mean(found, axis=0) + (LONGEST + 1 - n) * np.log(BACKOFF)
-        return self.floor
-
-    def word(self, word: str) -> np.ndarray:
-        row = self.words.get(word)
-        if row is None:
-            row = self.memo.get(word)
-        if row is None:
-            row = self.unseen(word)
-            if len(self.memo) >= MEMO:
-                self.memo = {}
-            self.memo[word] = row
-        return row
-
-    def score(self, text: str | None) -> tuple[str, float]:
-        found = words_of(text or "")
-        if not found or not self.languages:
-            return UNKNOWN, 0.0
-        counted: dict[str, int] = {}
-        for w in found:
-            counted[w] = counted.get(w, 0) + 1
-        mean = sum(self.word(w) * n for w, n in counted.items()) / len(found)
-        share = np.exp(mean - mean.max())
-        best = int(mean.argmax())
-        return self.languages[best], float(share[best] / share.sum())
+            found, sizes, some, rest = [], [], [], []
+            for k in left:
+                rows = [self.grams[g] for g in ngrams(words[k], n) if g in self.grams]
+                if rows:
+                    found += rows
+                    sizes.append(len(rows))
+                    some.append(k)
+                else:
+                    rest.append(k)
+            if some:
+                total = np.add.reduceat(self.table[found], np.cumsum([0, *sizes[:-1]]), axis=0)
+                out[some] = total / np.array(sizes)[:, None] + (LONGEST + 1 - n) * np.log(BACKOFF)
+            left = rest
+        return out
+
+
+class Scorer:
+    """A model with the rows of words met so far; one for each task."""
+
+    def __init__(self, model: LanguageModel):
+        self.model = model
+        self.place, self.table = dict(model.words), model.table
+        self.bound = len(model.words) + MEMO
+
+    def score(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        model = self.model
+        found = [words_of(t or "") for t in texts] if model.languages else [[] for _ in texts]
+        if len(self.place) > self.bound:
+            self.place, self.table = dict(model.words), model.table
+        new = list({w for ws in found for w in ws if w not in self.place})
+        if new:
+            self.place.update(zip(new, range(len(self.table), len(self.table) + len(new)), strict=True))
+            self.table = np.concatenate([self.table, model.unseen(new).astype(np.float32)])
+        out = []
+        for ws in found:
+            if not ws:
+                out.append((UNKNOWN, 0.0))
+                continue
+            mean = self.table[[self.place[w] for w in ws]].mean(axis=0, dtype=np.float64)
+            share = np.exp(mean - mean.max())
+            best = int(mean.argmax())
+            out.append((model.languages[best], float(share[best] / share.sum())))
+        return out
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +146,7 @@ def fit(
     draw = F.xxhash64("id")
     chosen = rows.select(draw.alias("draw")).orderBy("draw").limit(max_texts).agg(F.max("draw"), F.count("*")).first()
     if not chosen[1]:
-        return LanguageModel([], {}, {}, np.zeros(0))
+        return LanguageModel([], {}, {}, np.zeros((0, 0), np.float32), np.zeros(0))
     sample = rows.where(draw <= F.lit(chosen[0])).select("lang", "text")
     counts = sample.mapInArrow(_terms, "lang string, n int, term string, count bigint")
     by_lang = counts.groupBy("n", "term", "lang").agg(F.sum("count").alias("count"))
@@ -142,18 +161,17 @@ def fit(
         for c in r["by_lang"]:
             table[i, place[c["lang"]]] += c["count"]
     length = np.array([r["n"] for r in top])
-    words: dict[str, np.ndarray] = {}
-    grams: dict[str, np.ndarray] = {}
+    logs = np.zeros(table.shape, np.float32)
+    words: dict[str, int] = {}
+    grams: dict[str, int] = {}
     floor = np.zeros(len(languages))
     for n in range(LONGEST + 1):
         at = np.flatnonzero(length == n)
-        if not len(at):
-            continue
         total = table[at].sum(axis=0) + 1
-        logs = np.log(table[at] + 0.01) - np.log(total)
-        (grams if n else words).update(zip((top[i]["term"] for i in at), logs.astype(np.float32), strict=True))
-        floor = -np.log(total)
-    return LanguageModel(languages, words, grams, np.full(len(languages), floor.mean()))
+        logs[at] = np.log(table[at] + 0.01) - np.log(total)
+        (grams if n else words).update((top[i]["term"], int(i)) for i in at)
+        floor = np.minimum(floor, -np.log(total).mean())
+    return LanguageModel(languages, words, grams, logs, floor)
 
 
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -163,17 +181,14 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     names = [id_col, "lang_pred", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = Scorer(shared.value)
         for batch in batches:
-            found = [own.score(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([x[0] for x in found], pa.string()),
-                    pa.array([x[1] for x in found], pa.float64()),
-                ],
-                names,
-            )
+            for i in range(0, batch.num_rows, ROWS):
+                part = batch.slice(i, ROWS)
+                langs, shares = zip(*own.score(part.column(1).to_pylist()), strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(langs, pa.string()), pa.array(shares, pa.float64())], names
+                )
 
     schema = T.StructType(
         [

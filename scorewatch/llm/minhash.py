@@ -5,7 +5,7 @@ Documents with equal sets form a class, of which one member goes on. Retained va
 inverted: every value leads to the classes that keep it. A class enters only the lists of
 its rarest values, as many as any class with the wanted similarity must meet in one (prefix
 filter; exact for sets up to k, else sized for OVERLAP common values, which a pair at the
-threshold misses with a probability below 1e-7). A value that most texts share is therefore
+threshold misses with a probability of about 1e-6). A value that most texts share is therefore
 used only by texts that consist of such values.
 
 Within a list, members are paired with the member that shares most of its values with
@@ -38,7 +38,7 @@ from scorewatch.llm.words import STEP, U64, Words, mix, windows, word_slices
 SHINGLE, PERCENT = 5, 80
 #: Values in a sketch; how many of them two sketches at the threshold have in common at
 #: least; the least estimate (in percent) that goes to verification.
-SKETCH, OVERLAP, LEAST_ESTIMATE = 64, 32, 50
+SKETCH, OVERLAP, LEAST_ESTIMATE = 128, 80, 62
 VOID = np.iinfo(np.uint64).max
 
 

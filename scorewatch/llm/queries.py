@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewatch.llm import bpe, language, licenses, minhash, repetition, substrings
+from scorewatch.llm import bpe, decontaminate, language, licenses, minhash, quality, repetition, substrings
 from scorewatch.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -34,6 +34,22 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
 
 
+@query
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(3) == 1
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = quality.score(docs, model)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.deduplicate(table(spark, sf_dir, "documents"))
