@@ -27,10 +27,9 @@ def sizes(docs: DataFrame, text_col: str = "text") -> tuple[int, int]:
     return max(1, math.ceil(total / CHUNK_BYTES)), max(1, math.ceil(total / 6 / BUCKET_HASHES))
 
 
-def chunked(docs: DataFrame, chunks: int, id_col: str, text_col: str) -> DataFrame:
-    """(chunk, id, text): rows dealt into chunks by their id and text."""
-    plain = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
-    return plain.select(F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int").alias("chunk"), "id", "text")
+def chunked(rows: DataFrame, chunks: int) -> DataFrame:
+    """Rows with their chunk, dealt by id."""
+    return rows.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int"))
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:

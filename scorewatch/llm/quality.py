@@ -214,3 +214,16 @@ def score(docs: DataFrame, model: AttentionModel, id_col: str = "doc_id", text_c
         [T.StructField(id_col, plain.schema["id"].dataType), T.StructField("score", T.DoubleType())]
     )
     return plain.mapInArrow(run, schema)
+
+
+def keep(docs: DataFrame, model: AttentionModel, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows with a score of `least` or more, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, words in word_slices(batch.column(place), size=1_000_000):
+                yield batch.slice(i, j - i).filter(pa.array(shared.value.score(*encode(words)) >= least))
+
+    return docs.mapInArrow(run, docs.schema)

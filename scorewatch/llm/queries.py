@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewatch.llm import bpe, decontaminate, language, licenses, minhash, quality, repetition, substrings
+from scorewatch.llm import bpe, decontaminate, language, licenses, minhash, pages, quality, repetition, substrings, warc
+from scorewatch.llm.graph import stage
 from scorewatch.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -34,6 +35,13 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
 
 
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = stage(warc.write_archives(warc.plan(table(spark, sf_dir, "pages"))), "archives")
+    read = warc.read_records(stage(warc.normalise(written), "normalised"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -50,10 +58,16 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.deduplicate(table(spark, sf_dir, "documents"))
-    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    words = F.trim(F.regexp_replace(F.coalesce("kept", F.lit("")), "[ \\t\\n\\x0B\\f\\r]+", " "))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(words, 256).alias("kept_sha256"))
 
 
 @query
@@ -78,3 +92,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder(4) == 2
     model = language.fit(docs, ~held_out)
     return language.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+ORACLES["op3_warc"] = """
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN f.first IS NULL OR f.first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN f.first <> page_id THEN f.first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)"""

@@ -13,8 +13,8 @@ bits in a bucket, which only selects candidates; windows are held equal on 96 bi
 
 Ids are integers; a repeat stays in the text with the smallest id. Rows of one id are
 separate texts that do not remove each other's windows. A row without an id keeps all its
-words and removes nothing elsewhere. Null texts count as empty: no words, kept text empty.
-Other columns are ignored, whatever their names; an empty table gives an empty table.
+words and removes nothing elsewhere. Null texts count as empty and stay null. Other
+columns are carried along in a struct, whatever their names; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scorewatch.llm import blocks
 from scorewatch.llm.words import U64, Words, windows, word_slices
@@ -31,16 +32,7 @@ WINDOW = 13
 FAR, NEAR = np.iinfo(np.int64).max, np.iinfo(np.int64).min
 _SENT = pa.schema([("bucket", pa.int64()), ("chunk", pa.int32()), ("data", pa.binary())])
 _BACK = pa.schema([("chunk", pa.int32()), ("bucket", pa.int64()), ("data", pa.binary())])
-_KEPT = pa.schema(
-    [
-        ("id", pa.int64()),
-        ("n_words", pa.int64()),
-        ("n_removed", pa.int64()),
-        ("kept", pa.string()),
-        ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-    ]
-)
-_KEPT_SQL = "id bigint, n_words bigint, n_removed bigint, kept string, spans array<struct<start: bigint, end: bigint>>"
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def _place(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -200,7 +192,7 @@ def _remove(key, table: pa.Table, earlier: pa.Table, window: int) -> pa.Table:
     parts = [blocks.unpack(raw, "u8", "u4") for raw in earlier["data"].to_pylist()] if earlier.num_rows else []
     a, b, owner, own, spots = [], [], [], [], []
     ids, mine = _ids(table, FAR), _ids(table, NEAR)
-    firsts = []
+    firsts, starts, ends = [], [], []
     base = 0
     for i, _, words in word_slices(table["text"]):
         at, x, y = _wide(words, window)
@@ -211,6 +203,9 @@ def _remove(key, table: pa.Table, earlier: pa.Table, window: int) -> pa.Table:
         own.append(mine[text])
         spots.append(at + base)
         firsts.append(words.first[:-1] + base)
+        begin = words.offsets[:-1][words.text_of]
+        starts.append(words.start - begin)
+        ends.append(words.end - begin)
         base += len(words.start)
     count = sum(len(x) for x in a)
     first = np.concatenate([*firsts, [base]]) if firsts else np.zeros(1, np.int64)
@@ -226,25 +221,56 @@ def _remove(key, table: pa.Table, earlier: pa.Table, window: int) -> pa.Table:
         np.add.at(gone, repeated, 1)
         np.add.at(gone, repeated + window, -1)
     gone = np.cumsum(gone[:-1]) > 0
-    rows = []
-    for k, (number, text) in enumerate(zip(table["id"].to_pylist(), table["text"].to_pylist(), strict=True)):
-        words, cut = (text or "").encode().split(), gone[first[k] : first[k + 1]]
-        spans = []
-        if cut.any():
-            edges = np.flatnonzero(np.diff(cut, prepend=False, append=False)).tolist()
-            spans = [{"start": s, "end": e} for s, e in zip(edges[::2], edges[1::2], strict=True)]
-            words = [w for w, c in zip(words, cut.tolist(), strict=True) if not c]
-        rows.append((number, len(cut), int(cut.sum()), b" ".join(words).decode(), spans))
-    return blocks.table(rows, _KEPT)
+    start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
+    end = np.concatenate(ends) if ends else np.zeros(0, np.int64)
+    counts, removed, texts, spans = [], [], [], []
+    for k, text in enumerate(table["text"].to_pylist()):
+        cut = gone[first[k] : first[k + 1]]
+        edges = np.flatnonzero(np.diff(cut, prepend=False, append=False)).tolist() if cut.any() else []
+        own = list(zip(edges[::2], edges[1::2], strict=True))
+        if own:
+            text = _cut(text.encode(), start[first[k] : first[k + 1]], end[first[k] : first[k + 1]], own)
+        counts.append(len(cut))
+        removed.append(int(cut.sum()))
+        texts.append(text)
+        spans.append([{"start": x, "end": y} for x, y in own])
+    columns = [table["id"], pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())]
+    columns += [pa.array(spans, _SPANS), table["rest"]]
+    return pa.table(columns, ["id", "n_words", "n_removed", "kept", "spans", "rest"])
+
+
+def _cut(raw: bytes, start: np.ndarray, end: np.ndarray, spans: list[tuple[int, int]]) -> str:
+    """A text without some runs of words; each goes with the white space behind it."""
+    out, at = [], 0
+    for x, y in spans:
+        out.append(raw[at : start[x]])
+        at = int(start[y]) if y < len(start) else int(end[-1])
+    return b"".join([*out, raw[at:]]).decode()
 
 
 def deduplicate(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_words, n_removed, the kept words joined by one space, and the removed
-    spans (in words, end exclusive)."""
+    """Per row: id, n_words, n_removed, kept (the text without the repeats; else unchanged),
+    the removed spans (in words, end exclusive), and rest, a struct of all other columns."""
     size = (window + 1) // 2
-    plain = docs.select(docs[id_col].cast("bigint").alias("id"), docs[text_col].cast("string").alias("text"))
+    others = [docs[f"`{c}`"] for c in docs.columns if c not in (id_col, text_col)]
+    plain = docs.select(
+        docs[id_col].cast("bigint").alias("id"),
+        docs[text_col].cast("string").alias("text"),
+        F.struct(*others, F.lit(True).alias("row")).alias("rest"),
+    )
     chunks, buckets = blocks.sizes(plain)
-    texts = blocks.chunked(plain, chunks, "id", "text")
+    texts = blocks.chunked(plain, chunks)
+    span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+    kinds = T.StructType(
+        [
+            T.StructField("id", T.LongType()),
+            T.StructField("n_words", T.LongType()),
+            T.StructField("n_removed", T.LongType()),
+            T.StructField("kept", T.StringType()),
+            T.StructField("spans", T.ArrayType(span)),
+            T.StructField("rest", plain.schema["rest"].dataType),
+        ]
+    )
 
     sent = texts.groupBy("chunk").applyInArrow(
         lambda t: _send(t, size, buckets), "bucket bigint, chunk int, data binary"
@@ -261,6 +287,6 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", t
     kept = (
         texts.groupBy("chunk")
         .cogroup(earlier.groupBy("chunk"))
-        .applyInArrow(lambda k, t, s: _remove(k, t, s, window), _KEPT_SQL)
+        .applyInArrow(lambda k, t, s: _remove(k, t, s, window), kinds)
     )
-    return kept.select(F.col("id").alias(id_col), "n_words", "n_removed", "kept", "spans")
+    return kept.withColumnRenamed("id", id_col)
