@@ -20,7 +20,8 @@ def _bounds(df: DataFrame, column: str) -> tuple[Column, Column]:
 def bin_of(
     df: DataFrame, column: str, bins: int, low: float | None = None, high: float | None = None
 ) -> Column:
-    """Bin number from 0. The last bin holds the upper bound; values outside get null.
+    """Bin number from 0. The last bin holds the upper bound; values below the bounds are in
+    bin -1, those above in bin ``bins``, and missing values get null.
 
     A column with a single value falls in bin 0. Bounds that are not given are found in
     the data.
@@ -32,7 +33,8 @@ def bin_of(
     hi = last if high is None else F.lit(float(high))
     c = nan_to_null(column)
     number = F.coalesce(F.try_divide(c - lo, (hi - lo) / F.lit(bins)), F.lit(0.0))
-    return F.when(c.between(lo, hi), F.least(F.floor(number), F.lit(bins - 1)).cast("bigint"))
+    inner = F.least(F.floor(number), F.lit(bins - 1)).cast("bigint")
+    return F.when(c < lo, F.lit(-1)).when(c > hi, F.lit(bins)).when(c.isNotNull(), inner).cast("bigint")
 
 
 def histogram(

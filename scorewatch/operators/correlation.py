@@ -11,12 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorewatch.functions.columns import nan_to_null
-from scorewatch.operators.quality import long_form
-
-# Above this many pairs the aggregates no longer fit one generated method, and the matrix
-# form is faster by an order of magnitude.
-JVM_PAIRS = 10
-SHIFT_ROWS = 1000
 
 _MOMENTS = "a int, b int, n double, sa double, sb double, saa double, sbb double, sab double"
 
@@ -54,11 +48,10 @@ def _moment_sums(shift: np.ndarray):
 
 def _by_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     values = df.select(*[nan_to_null(c).alias(f"c{i}") for i, c in enumerate(columns)])
-    # Correlation does not change when a constant is taken off a column. Any value from
-    # within its range keeps the sums of squares from drowning the differences, so a few
-    # rows are enough to find one.
-    near = values.limit(SHIFT_ROWS).agg(*[F.avg(c).alias(c) for c in values.columns]).first()
-    shift = np.array([v if v is not None else 0.0 for v in near])
+    # Correlation does not change when a constant is taken off a column. The mean of all its
+    # values keeps the sums of squares from drowning the differences.
+    means = values.agg(*[F.avg(c).alias(c) for c in values.columns]).first()
+    shift = np.array([v if v is not None else 0.0 for v in means])
     sums = (
         values.mapInArrow(_moment_sums(shift), _MOMENTS)
         .groupBy("a", "b")
@@ -78,15 +71,13 @@ def _by_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def corr_matrix(df: DataFrame, columns: Sequence[str], method: str = "auto") -> DataFrame:
+def corr_matrix(df: DataFrame, columns: Sequence[str], method: str = "matrix") -> DataFrame:
     """Upper triangle with the diagonal, in long form (a, b, r).
 
-    ``pairs`` is one JVM aggregation; ``matrix`` multiplies Arrow batches. Both read the
-    table once and shuffle only sums.
+    ``matrix`` reads the means and then multiplies Arrow batches, at any number of columns;
+    ``pairs`` is one JVM aggregation, for few columns. Both shuffle only sums.
     """
     pairs = list(combinations_with_replacement(columns, 2))
-    if method == "auto":
-        method = "pairs" if len(pairs) <= JVM_PAIRS else "matrix"
     if method == "matrix":
         return _by_matrix(df, columns)
     if method != "pairs":
@@ -110,16 +101,8 @@ def full_matrix(upper: DataFrame) -> DataFrame:
 
 def label_correlation(df: DataFrame, columns: Sequence[str], label: str = "predicted_label") -> DataFrame:
     """Importance of features as |correlation| with the label, ranked, with the signed value."""
-    if len(columns) <= JVM_PAIRS:
-        one = df.agg(*[pair_correlation(c, label).alias(c) for c in columns])
-        signed = long_form(one, "feature", {c: {"original_correlation": F.col(c)} for c in columns})
-    else:
-        with_label = _by_matrix(df, [*columns, label]).filter(
-            (F.col("b") == label) & (F.col("a") != label)
-        )
-        signed = with_label.select(
-            F.col("a").alias("feature"), F.col("r").alias("original_correlation")
-        )
+    with_label = _by_matrix(df, [*columns, label]).filter((F.col("b") == label) & (F.col("a") != label))
+    signed = with_label.select(F.col("a").alias("feature"), F.col("r").alias("original_correlation"))
     long = signed.select("feature", F.abs("original_correlation").alias("correlation"), "original_correlation")
     # One row per feature here, so a window without a key is no bottleneck.
     strongest = Window.orderBy(F.desc_nulls_last("correlation"), "feature")

@@ -105,13 +105,14 @@ def summary_rest_positive(spark, sf_dir):
 
 
 def _bin_sql(c: str, lo: float, hi: float, n: int) -> str:
-    return f"CAST(least(floor(({c} - {lo}) / (({hi} - {lo}) / {n})), {n - 1}) AS BIGINT)"
+    inner = f"least(floor(({c} - {lo}) / (({hi} - {lo}) / {n})), {n - 1})"
+    return f"CAST(CASE WHEN {c} < {lo} THEN -1 WHEN {c} > {hi} THEN {n} ELSE {inner} END AS BIGINT)"
 
 
 @query(
     "histogram",
     f"""SELECT {_bin_sql('l_extendedprice', 0.0, 100000.0, 20)} AS bin, label, count(*) AS n
-        FROM {FEATURES_SQL} WHERE l_extendedprice BETWEEN 0 AND 100000 GROUP BY 1, 2""",
+        FROM {FEATURES_SQL} GROUP BY 1, 2""",
 )
 def histogram(spark, sf_dir):
     lines = feature_table(spark, sf_dir)
@@ -173,7 +174,7 @@ def age_histogram(spark, sf_dir):
                WHEN grouping(x) = 0 THEN 'x_margin' ELSE 'y_margin' END AS part, count(*) AS n
         FROM (SELECT {_bin_sql('l_quantity', 0.0, 50.0, 10)} AS x,
                      {_bin_sql('l_extendedprice', 0.0, 100000.0, 10)} AS y
-              FROM lineitem WHERE l_quantity BETWEEN 0 AND 50 AND l_extendedprice BETWEEN 0 AND 100000)
+              FROM lineitem)
         GROUP BY GROUPING SETS ((x, y), (x), (y))""",
 )
 def histogram2d(spark, sf_dir):

@@ -228,15 +228,12 @@ def rule_score(spark, sf_dir):
 
 @query(
     "ratio_index",
-    """SELECT p_partkey, round(p_retailprice / pow(p_size / 100.0, 2), 4) AS index_value
-       FROM part WHERE p_size > 0""",
+    """SELECT p_partkey, round(p_retailprice / nullif(pow(p_size / 100.0, 2), 0), 4) AS index_value
+       FROM part""",
 )
 def ratio_index(spark, sf_dir):
-    return (
-        table(spark, sf_dir, "part")
-        .filter("p_size > 0")
-        .select("p_partkey", F.round(C.body_mass_index("p_retailprice", "p_size"), 4).alias("index_value"))
-    )
+    index = F.round(C.body_mass_index("p_retailprice", "p_size"), 4)
+    return table(spark, sf_dir, "part").select("p_partkey", index.alias("index_value"))
 
 
 # Event types stand in for feature names: each gets a measure by its length.
@@ -286,16 +283,17 @@ def explain(spark, sf_dir):
 @query(
     "lookup_text",
     """SELECT o_orderkey, coalesce(n_name, 'none') AS n_name
-       FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_custkey % 3 <> 0
+       FROM orders LEFT JOIN customer ON o_orderkey = c_custkey
                    LEFT JOIN nation ON c_nationkey = n_nationkey""",
 )
 def lookup_text(spark, sf_dir):
     names = table(spark, sf_dir, "customer").join(
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    dim = names.filter("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("o_custkey"), "n_name")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return clean.lookup_text(orders, dim, "o_custkey", "n_name", "none").drop("o_custkey")
+    # There are more orders than customers, so most keys are not in the dimension.
+    dim = names.select(F.col("c_custkey").alias("o_orderkey"), "n_name")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    return clean.lookup_text(orders, dim, "o_orderkey", "n_name", "none")
 
 
 # --- messages ----------------------------------------------------------------------
@@ -386,16 +384,20 @@ def nested_messages(spark, sf_dir):
 
 @query(
     "read_scored_messages",
-    f"""SELECT event_id,
-          CAST(CASE WHEN event_id % 11 = 0 THEN 0 ELSE predicted_label END AS DOUBLE) AS predicted_label,
-          CASE WHEN event_id % 11 = 0 OR event_id % 5 = 4 THEN 0.0 ELSE round(p0, 6) END AS benign_probability,
-          CASE WHEN event_id % 11 = 0 OR event_id % 5 = 4 THEN 0.0 ELSE round(p1, 6) END AS malignant_probability,
-          CASE WHEN event_id % 11 = 0 THEN 0.0 ELSE value END AS value,
-          CASE WHEN event_id % 11 = 0 THEN 0.0 ELSE k END AS k
+    f"""SELECT event_id, event_id % 11 <> 0 AS is_valid,
+          CAST(CASE WHEN event_id % 11 = 0 THEN 12 END AS INTEGER) AS raw_length,
+          CAST(CASE WHEN event_id % 11 <> 0 THEN predicted_label END AS DOUBLE) AS predicted_label,
+          CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 5 = 4 THEN 0.0 ELSE round(p0, 6) END
+            AS benign_probability,
+          CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 5 = 4 THEN 0.0 ELSE round(p1, 6) END
+            AS malignant_probability,
+          CASE WHEN event_id % 11 <> 0 THEN value END AS value,
+          CASE WHEN event_id % 11 <> 0 THEN k END AS k
         FROM {SCORED_SQL}""",
 )
 def read_scored_messages(spark, sf_dir):
     scored = read_scored(event_messages(scored_events(spark, sf_dir)), EVENT_SPEC)
+    scored = scored.withColumn("raw_length", F.length("raw_value")).drop("raw_value")
     return scored.withColumns({c: r6(c) for c in ("benign_probability", "malignant_probability")})
 
 

@@ -22,7 +22,6 @@ from scorewatch.streaming.sinks import (
 )
 
 STREAM_SPEC = FeatureSpec(("value", "k"), "predicted_label")
-TIMEOUT = 3600
 
 
 def _scored_stream(spark, sf_dir):
@@ -54,7 +53,7 @@ def _fan_out(spark, sf_dir, *wanted):
         "quarantine": quarantine_sink(f"{root}/quarantine", ("event_id",)),
     }
     chosen = {n: sinks[n] for n in wanted}
-    wait_for([fan_out(scored, chosen, f"{root}/checkpoint", trigger=None)], TIMEOUT)
+    wait_for([fan_out(scored, chosen, f"{root}/checkpoint", trigger=None)])
     return root, fitted
 
 
@@ -113,12 +112,12 @@ def stream_file_sink(spark, sf_dir):
     """Scored messages through the built-in text sink."""
     root = scratch_folder(spark, "text-sink")
     fitted = _model(spark, sf_dir)
-    clean = _messages(_scored_stream(spark, sf_dir)).filter("event_id % 9 <> 0")
+    clean = _messages(_scored_stream(spark, sf_dir))
     messages = scored_message(
         score_stream(clean, STREAM_SPEC, fitted, policy="zero_fill"), STREAM_SPEC
     )
     sink = write_stream(messages, "text", f"{root}/checkpoint", None, path=f"{root}/out")
-    wait_for([sink], TIMEOUT)
+    wait_for([sink])
     return read_scored(spark.read.text(f"{root}/out"), STREAM_SPEC)
 
 
@@ -130,7 +129,7 @@ def live_counts(spark, sf_dir):
     root = scratch_folder(spark, "live-counts")
     totals = live.live_counts(_scored_stream(spark, sf_dir))
     sinks = {"table": live.table_sink(f"{root}/out")}
-    wait_for([fan_out(totals, sinks, f"{root}/checkpoint", None, "complete")], TIMEOUT)
+    wait_for([fan_out(totals, sinks, f"{root}/checkpoint", None, "complete")])
     return live.read_newest(spark, f"{root}/out")
 
 
@@ -146,7 +145,7 @@ def live_window(spark, sf_dir):
     root = scratch_folder(spark, "live-window")
     periods = live.live_window(_scored_stream(spark, sf_dir), "ts", "1 hour", "10 minutes")
     sink = write_stream(periods, "parquet", f"{root}/checkpoint", None, path=f"{root}/out")
-    wait_for([sink], TIMEOUT)
+    wait_for([sink])
     closed = spark.read.parquet(f"{root}/out")
     return closed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
 
@@ -161,6 +160,6 @@ def live_last_n(spark, sf_dir):
     rows = _scored_stream(spark, sf_dir).select("user_id", "event_id", "ts", "value")
     order, by = ["ts", "event_id"], ["user_id"]
     sinks = {"newest": live.last_n_sink(f"{root}/out", 50, order, by)}
-    wait_for([fan_out(rows, sinks, f"{root}/checkpoint", trigger=None)], TIMEOUT)
+    wait_for([fan_out(rows, sinks, f"{root}/checkpoint", trigger=None)])
     newest = live.read_last_n(spark, f"{root}/out", 50, order, by)
     return newest.select("user_id", "event_id", r6("value").alias("value"))

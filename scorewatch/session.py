@@ -34,7 +34,8 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="scorewatch-")
     return f"{root.rstrip('/')}/scorewatch/{name}-{uuid.uuid4().hex}"

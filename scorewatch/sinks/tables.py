@@ -37,10 +37,12 @@ def jdbc_write_options(
     table: str,
     batchsize: int = 100,
     isolation: str = "READ_COMMITTED",
-    num_partitions: int = 1,
+    *,
+    num_partitions: int,
     **properties: str,
 ) -> dict[str, str]:
-    """``num_partitions`` is the number of connections; the writer coalesces to it."""
+    """``num_partitions`` is the number of connections; the writer coalesces to it. There is
+    no default: a single one would make the write a single task."""
     return {
         "url": url,
         "dbtable": table,

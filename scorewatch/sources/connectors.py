@@ -20,25 +20,24 @@ def read_connector(spark: SparkSession, fmt: str, **options: Any) -> DataFrame:
 def jdbc_read_options(
     url: str,
     table: str,
-    split_column: str | None = None,
-    lower: Any = None,
-    upper: Any = None,
-    partitions: int = 1,
+    split_column: str,
+    lower: Any,
+    upper: Any,
+    partitions: int,
     fetch_size: int = 10_000,
     **properties: str,
 ) -> dict[str, str]:
-    """Options of a parallel JDBC scan: ``partitions`` ranges of ``split_column``."""
-    options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size)} | properties
-    if split_column is not None:
-        if lower is None or upper is None:
-            raise ValueError("split_column needs lower and upper")
-        options |= {
-            "partitionColumn": split_column,
-            "lowerBound": str(lower),
-            "upperBound": str(upper),
-            "numPartitions": str(partitions),
-        }
-    return options
+    """Options of a parallel JDBC scan: ``partitions`` ranges of ``split_column``.
+    None of them has a default: without them the scan would be a single task."""
+    return {
+        "url": url,
+        "dbtable": table,
+        "fetchsize": str(fetch_size),
+        "partitionColumn": split_column,
+        "lowerBound": str(lower),
+        "upperBound": str(upper),
+        "numPartitions": str(partitions),
+    } | properties
 
 
 def read_predictions(spark: SparkSession, url: str, table: str, **options: Any) -> DataFrame:

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scorewatch.functions.messages import normalize_probability, parse_messages
+from scorewatch.functions.messages import VALID, normalize_probability, parse_messages
 from scorewatch.spec import FeatureSpec
 
 
@@ -79,21 +79,28 @@ def message_id(df: DataFrame) -> DataFrame:
     )
 
 
-def read_scored(messages: DataFrame, spec: FeatureSpec, value: str = "value") -> DataFrame:
+def read_scored(
+    messages: DataFrame, spec: FeatureSpec, value: str = "value", policy: str = "quarantine"
+) -> DataFrame:
     """Scored messages, batch or stream: label, both probabilities, features.
 
-    The probability may be a serialized vector, a list, or either as a string. Missing
-    fields count as 0.0.
+    The probability may be a serialized vector, a list, or either as a string. Missing fields
+    of a good message count as 0.0. ``quarantine`` adds ``is_valid`` and ``raw_value``: what is
+    not a message (null, blank, junk, cut off, a field of the wrong type) has its text there and
+    no label, probability or feature, so that it is not counted as a case. ``zero_fill`` makes
+    such a message a case of zeros.
     """
     fields = [
         T.StructField("predicted_label", T.DoubleType(), True),
         T.StructField("prediction_probability", T.StringType(), True),
     ]
-    parsed = parse_messages(messages, T.StructType(fields + spec.schema().fields), value, "zero_fill")
+    parsed = parse_messages(messages, T.StructType(fields + spec.schema().fields), value, policy)
     pair = parsed.withColumn("_pair", normalize_probability("prediction_probability"))
+    marks = [VALID, "raw_value"] if policy == "quarantine" else []
 
-    def or_zero(c):
-        return F.coalesce(c, F.lit(0.0))
+    def or_zero(c: Column) -> Column:
+        filled = F.coalesce(c, F.lit(0.0))
+        return F.when(F.col(VALID), filled) if marks else filled
 
     return pair.select(
         *[c for c in messages.columns if c != value],
@@ -101,4 +108,5 @@ def read_scored(messages: DataFrame, spec: FeatureSpec, value: str = "value") ->
         or_zero(F.get("_pair", F.lit(0))).alias("benign_probability"),
         or_zero(F.get("_pair", F.lit(1))).alias("malignant_probability"),
         *[or_zero(F.col(f)).alias(f) for f in spec.features],
+        *marks,
     )

@@ -49,16 +49,19 @@ def status(queries: Sequence[StreamingQuery]) -> list[dict[str, Any]]:
     ]
 
 
-def wait_for(queries: Sequence[StreamingQuery], timeout: float) -> bool:
-    """Wait for queries to end within ``timeout`` seconds; True if all did.
+def wait_for(queries: Sequence[StreamingQuery], timeout: float | None = None) -> None:
+    """Wait for queries to end, however long that takes if no ``timeout`` is given.
 
-    A failed query raises here. Whatever still runs at the end, or when one fails, is stopped.
+    A failed query raises here, and so does one that still runs after ``timeout`` seconds: its
+    output is not whole. Whatever still runs then is stopped.
     """
-    deadline = time.monotonic() + timeout
+    deadline = None if timeout is None else time.monotonic() + timeout
     try:
-        return all(
-            [q.awaitTermination(max(0.1, deadline - time.monotonic())) for q in queries]
-        )
+        for q in queries:
+            if deadline is None:
+                q.awaitTermination()
+            elif not q.awaitTermination(max(0.1, deadline - time.monotonic())):
+                raise TimeoutError(f"query {q.name or q.id} still runs after {timeout} seconds")
     finally:
         for q in queries:
             if q.isActive:

@@ -97,13 +97,21 @@ def test_read_scored_fills_what_is_missing(spark):
         ('{"b": 3, "prediction_probability": [0.4]}',),
         ("junk",),
     ]
-    found = read_scored(spark.createDataFrame(rows, "value string").coalesce(1), SPEC).collect()
-    assert [tuple(r) for r in found] == [
-        (1.0, 0.1, 0.9, 1.0, 0.0),
-        (0.0, 0.8, 0.2, 1.0, 0.0),
-        (0.0, 0.4, 0.0, 0.0, 3.0),
-        (0.0, 0.0, 0.0, 0.0, 0.0),
-    ]
+    df = spark.createDataFrame(rows, "value string").coalesce(1)
+    good = [(1.0, 0.1, 0.9, 1.0, 0.0), (0.0, 0.8, 0.2, 1.0, 0.0), (0.0, 0.4, 0.0, 0.0, 3.0)]
+    found = read_scored(df, SPEC).collect()
+    assert [tuple(r) for r in found] == [(*g, True, None) for g in good] + [(*[None] * 5, False, "junk")]
+    zeros = read_scored(df, SPEC, policy="zero_fill").collect()
+    assert [tuple(r) for r in zeros] == [*good, (0.0, 0.0, 0.0, 0.0, 0.0)]
+
+
+@pytest.mark.parametrize(
+    "text", ["not json at all", '{"a": 1, "predicted', None, "", '{"a": 1, "predicted_label": "high"}', '{"a": NaN}']
+)
+def test_read_scored_makes_no_case_of_junk(spark, text):
+    row = read_scored(spark.createDataFrame([(text,)], "value string"), SPEC).first()
+    assert not row.is_valid and row.raw_value == text
+    assert row.predicted_label is None and row.benign_probability is None and row.a is None
 
 
 def test_sent_messages_are_read_back(spark):
@@ -114,7 +122,7 @@ def test_sent_messages_are_read_back(spark):
         ).alias("value")
     )
     assert '"prediction_probability":[0.25,0.75]' in sent.first().value
-    assert tuple(read_scored(sent, SPEC).first()) == (1.0, 0.25, 0.75, 1.5, 0.0)
+    assert tuple(read_scored(sent, SPEC).first()) == (1.0, 0.25, 0.75, 1.5, 0.0, True, None)
 
 
 def test_message_id_and_kafka_options(spark):

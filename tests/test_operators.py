@@ -71,7 +71,9 @@ def test_label_counts_and_summary(spark):
 def test_histogram_edges(spark):
     rows = [(0.0,), (0.99,), (1.0,), (9.99,), (10.0,), (10.01,), (-0.01,), (None,), (NAN,)]
     df = spark.createDataFrame(rows, "v double")
-    assert rows_of(bins.histogram(df, "v", bins=10, low=0, high=10), "bin") == [(0, 2), (1, 1), (9, 2)]
+    assert rows_of(bins.histogram(df, "v", bins=10, low=0, high=10), "bin") == [
+        (-1, 1), (0, 2), (1, 1), (9, 2), (10, 1)
+    ]
     found = bins.histogram(df.filter("v between 0 and 10"), "v", bins=10)
     assert rows_of(found, "bin") == [(0, 2), (1, 1), (9, 2)]
     constant = spark.createDataFrame([(4.0,), (4.0,)], "v double")
@@ -162,6 +164,14 @@ def test_correlation_of_known_rows(spark):
         assert found["x", "y"] == pytest.approx(pd.DataFrame(rows).corr().iloc[0, 1])
 
 
+def test_correlation_does_not_depend_on_the_first_rows(spark):
+    df = spark.range(0, 5000, numPartitions=4).selectExpr(
+        "CASE WHEN id >= 2000 THEN 1.7e9 + id % 100 END AS a", "2.0 * (id % 100) AS c"
+    )
+    found = {(r.a, r.b): r.r for r in correlation.corr_matrix(df, ["a", "c"]).collect()}
+    assert all(abs(r - 1.0) < 1e-9 for r in found.values())
+
+
 def test_wide_label_correlation_equals_the_narrow_one(spark):
     rng = np.random.default_rng(4)
     pdf = pd.DataFrame(rng.normal(0, 1, (100, 14)), columns=[f"f{i}" for i in range(14)])

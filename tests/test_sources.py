@@ -96,8 +96,10 @@ def test_jdbc_options():
     }
     read = connectors.jdbc_read_options("jdbc:x", "t", "id", 0, 100, 8)
     assert (read["partitionColumn"], read["numPartitions"]) == ("id", "8")
-    with pytest.raises(ValueError):
-        connectors.jdbc_read_options("jdbc:x", "t", "id")
+    with pytest.raises(TypeError):
+        connectors.jdbc_read_options("jdbc:x", "t")
+    with pytest.raises(TypeError):
+        sinks.jdbc_write_options("jdbc:x", "predictions")
 
 
 def test_preview_is_bounded(spark):

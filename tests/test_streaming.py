@@ -55,7 +55,7 @@ def run(spark, tmp_path, fitted, extra=None, **options):
     scored = score_stream(text_stream(spark, tmp_path / "in", **options), SPEC, fitted)
     all_sinks = sinks(tmp_path) | (extra or {})
     q = fan_out(scored, all_sinks, str(tmp_path / "checkpoint"), trigger=None)
-    assert monitor.wait_for([q], WAIT)
+    monitor.wait_for([q], WAIT)
     return q
 
 
@@ -129,7 +129,7 @@ def test_built_in_sink_and_progress(spark, tmp_path, fitted):
         q = write_stream(
             scored_message(scored, SPEC), "text", str(tmp_path / "cp"), None, path=str(tmp_path / "out")
         )
-        assert monitor.wait_for([q], WAIT)
+        monitor.wait_for([q], WAIT)
         assert spark.read.text(str(tmp_path / "out")).count() == 5
         assert not monitor.status([q])[0]["active"]
         for _ in range(50):
@@ -147,7 +147,8 @@ def test_wait_stops_what_still_runs(spark, tmp_path):
         text_stream(spark, tmp_path / "in"), "parquet", str(tmp_path / "cp"), "500 milliseconds",
         path=str(tmp_path / "out"),
     )
-    assert not monitor.wait_for([q], 2)
+    with pytest.raises(TimeoutError):
+        monitor.wait_for([q], 2)
     assert not q.isActive
 
 
@@ -172,7 +173,7 @@ def test_live_counts_over_batches(spark, tmp_path):
     q = fan_out(
         live.live_counts(stream), {"t": live.table_sink(out)}, str(tmp_path / "cp"), None, "complete"
     )
-    assert monitor.wait_for([q], WAIT)
+    monitor.wait_for([q], WAIT)
     found = {(r.predicted_label, r.n) for r in live.read_newest(spark, out).collect()}
     assert found == {(0, 1), (1, 2), (None, 1)}
 
@@ -191,7 +192,7 @@ def test_live_window_writes_closed_periods_once(spark, tmp_path):
     )
     periods = live.live_window(stream, "ts", "5 seconds", "10 seconds")
     q = write_stream(periods, "parquet", str(tmp_path / "cp"), None, path=str(tmp_path / "out"))
-    assert monitor.wait_for([q], WAIT)
+    monitor.wait_for([q], WAIT)
     found = spark.read.parquet(str(tmp_path / "out")).sort("start").collect()
     # The row at second 2 of the last batch comes after its period was closed.
     assert [(r.start, r.predicted_label, r.n) for r in found] == [(at(0), 0, 2), (at(20), 1, 2)]
@@ -202,7 +203,7 @@ def test_live_last_n_over_batches(spark, tmp_path):
     stream = event_files(spark, tmp_path / "in", [rows[20:], rows[:10], rows[10:20]])
     out, order, by = str(tmp_path / "out"), ["ts", "id"], ["user"]
     sink = {"n": live.last_n_sink(out, 4, order, by)}
-    assert monitor.wait_for([fan_out(stream, sink, str(tmp_path / "cp"), None)], WAIT)
+    monitor.wait_for([fan_out(stream, sink, str(tmp_path / "cp"), None)], WAIT)
     expected = {
         (u, i) for u in ("hot", "b") for i in sorted((r[1] for r in rows if r[0] == u), reverse=True)[:4]
     }
