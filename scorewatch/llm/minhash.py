@@ -8,12 +8,12 @@ filter; exact for sets up to k, else sized for OVERLAP common values, which a pa
 threshold misses with a probability of about 1e-6). A value that most texts share is therefore
 used only by texts that consist of such values.
 
-Within a list, members are paired with the member that shares most of its values with
-others, the original of a group of edited copies. After these links are verified, only
-members of different components that still meet in a list are paired with each other. Each
-pair is estimated from the union of both sketches, and what may reach the threshold is
-verified on the full sets. So a group of m copies costs m pairs, and no link between
-different components is lost.
+Within a list, members are paired with its middle, the member that shares most of its values
+with others: the original of a group of edited copies, and both full sets are compared. After that, members of
+different components are paired where a link is still possible (`_crossing`); such a pair is
+estimated from the union of both sketches, and what may reach the threshold is verified on the
+full sets. So a group of m copies costs about m pairs, and no link between different
+components is lost.
 
 Texts without words have an empty set and link with nothing. Fewer words than a shingle
 count as one shingle. Rows of one id with equal sets are one class; a row without an id
@@ -121,13 +121,14 @@ def _estimated(least: float):
     return run
 
 
-def _verified(size: int, percent: int):
+def _compared(size: int):
+    """Sizes of both full sets, common values, and what only the second set has."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 200):
                 part = batch.slice(i, 200)
-                good = np.zeros(part.num_rows, bool)
-                left = {}
+                left, rows = {}, []
                 for side in (2, 3):
                     for x, y, words in word_slices(part.column(side), lower=True):
                         keys, first = shingles(words, size)
@@ -136,9 +137,13 @@ def _verified(size: int, percent: int):
                             if side == 2:
                                 left[k] = own
                             else:
-                                common = len(np.intersect1d(left[k], own, assume_unique=True))
-                                good[k] = 100 * common >= percent * (len(left[k]) + len(own) - common)
-                yield part.select(["a", "b"]).filter(pa.array(good))
+                                only = np.setdiff1d(own, left[k], assume_unique=True)
+                                rows.append((len(left[k]), len(own), len(own) - len(only), only.view(np.int64)))
+                columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]
+                only = pa.array([r[3] for r in rows], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), *columns, only], ["a", "b", "n_a", "n_b", "common", "only"]
+                )
 
     return run
 
@@ -199,17 +204,23 @@ def near_duplicates(
     )
     sketches = classes.select("node", "sketch")
 
-    def links(pairs: DataFrame) -> DataFrame:
-        """Pairs whose full sets are similar enough."""
+    def estimated(pairs: DataFrame) -> DataFrame:
+        """Pairs whose sketches say that they may be similar."""
         near = pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("x")), "a")
         near = near.join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("y")), "b")
         likely = near.select("a", "b", "x", "y").mapInArrow(
             _estimated(LEAST_ESTIMATE / 100), "a bigint, b bigint"
         )
-        likely = stage(likely, "likely")
-        full = likely.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
+        return stage(likely, "likely")
+
+    def compare(pairs: DataFrame) -> DataFrame:
+        """Both full sets of each pair."""
+        full = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
         full = full.join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
-        return stage(full.select("a", "b", "x", "y").mapInArrow(_verified(shingle, percent), "a bigint, b bigint"), "verified")
+        kind = "a bigint, b bigint, n_a bigint, n_b bigint, common bigint, only array<bigint>"
+        return full.select("a", "b", "x", "y").mapInArrow(_compared(shingle), kind)
+
+    linked = 100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))
 
     middle = lists.groupBy("value").agg(F.max(F.struct("rank", "n")).alias("m"), F.count("*").alias("c")).where("c > 1")
     middle = middle.select("value", F.col("m.rank.node").alias("a"), F.col("m.n").alias("n_a"))
@@ -221,23 +232,14 @@ def near_duplicates(
         .distinct()
     )
     tested = stage(star, "star")
-    first = links(tested)
-
-    found = components(first)
-    placed = lists.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    split = placed.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    rest = placed.join(split.select("value"), "value", "left_semi").select("value", "node", "n", "component")
-    left = rest.select("value", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    right = rest.select("value", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    crossing = (
-        left.join(right, "value")
-        .where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")))
-        .where(_near(F.col("n_a"), F.col("n_b"), percent))
-        .select("a", "b")
-        .distinct()
-    )
+    compared = stage(compare(tested), "compared")
+    first = compared.where(linked).select("a", "b")
+    groups = components(first)
+    rest = _crossing(lists, middle, compared, groups, percent)
     seen = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = links(stage(crossing.join(seen, ["a", "b"], "left_anti"), "crossing"))
+    rest = stage(rest.join(seen, ["a", "b"], "left_anti"), "crossing")
+    second = compare(estimated(rest)).where(linked).select("a", "b")
+    second = stage(second, "links")
 
     found = components(first.union(second))
     by_node = classes.select("node", "rep").join(
@@ -256,3 +258,52 @@ def near_duplicates(
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
     )
 
+
+
+def _crossing(
+    lists: DataFrame, middle: DataFrame, compared: DataFrame, groups: DataFrame, percent: int
+) -> DataFrame:
+    """Pairs of members of different components that may be similar and were not compared.
+
+    Members x and y of a list that were both compared with its middle c, x without a link to
+    it, are similar only if they have a value in common that c lacks, or if all they have in
+    common lies in c. The first are met over the values that c lacks. For the second, both
+    must have so much in common with c as they need of each other. Only members that were
+    not compared with c, as their sizes forbid a link to it, are paired over the
+    list itself. So edited copies of one text, each too far from the others, make no pairs.
+    """
+    placed = lists.join(groups, "node", "left").select(
+        "value", "node", "n", F.coalesce("component", "node").alias("component")
+    )
+    split = placed.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    mixed = placed.join(split.select("value"), "value", "left_semi").join(middle.select("value", "a"), "value")
+    with_middle = compared.select("a", F.col("b").alias("node"), F.lit(True).alias("hit"))
+    mixed = mixed.join(with_middle, ["a", "node"], "left").select(
+        "value", "node", "n", "component", (F.col("hit").isNotNull() | (F.col("a") == F.col("node"))).alias("known")
+    )
+    members = compared.join(groups.withColumnRenamed("node", "b"), "b", "left").select(
+        F.col("a").alias("middle"),
+        F.col("b").alias("node"),
+        F.col("n_b").alias("n"),
+        F.coalesce("component", "b").alias("component"),
+        "common",
+        "only",
+    )
+
+    def pairs(rows: DataFrame, keys: list[str], extra: Column) -> DataFrame:
+        x = rows.select(*keys, *(F.col(c).alias(f"x_{c}") for c in rows.columns if c not in keys))
+        y = rows.select(*keys, *(F.col(c).alias(f"y_{c}") for c in rows.columns if c not in keys))
+        both = x.join(y, keys).where(extra & (F.col("x_component") != F.col("y_component")))
+        both = both.where(_near(F.col("x_n"), F.col("y_n"), percent))
+        return both.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"))
+
+    once = F.col("x_node") < F.col("y_node")
+    unknown = pairs(mixed, ["value"], once & ~(F.col("x_known") & F.col("y_known")))
+    lacking = members.select("middle", "node", "n", "component", F.explode("only").alias("value"))
+    outside = pairs(lacking, ["middle", "value"], once)
+    order = (F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & once)
+    need = percent * (F.col("x_n") + F.col("y_n"))
+    inside = pairs(
+        members.drop("only"), ["middle"], order & (need <= (100 + percent) * F.least("x_common", "y_common"))
+    )
+    return unknown.union(outside).union(inside).distinct()
