@@ -97,11 +97,11 @@ def test_archives_are_read_back_by_offset(spark):
     found = sorted(((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.read_records(made).collect()), key=str)
     assert found == sorted(
         [(3, 123, "revisit", 1), (1, 123, "response", None), (1, 123, "response", None), (None, 123, "revisit", 1),
-         (4, 5, "response", None), (5, 5, "response", None), (6, 0, "response", None), (7, 333, "response", None)],
+         (4, 5, "response", None), (5, 5, "response", None), (6, 0, "response", None), (7, 315, "response", None)],
         key=str,
     )
     for r in made.collect():
-        for e in r.index:
+        for e in r["index"]:
             raw = gzip.decompress(bytes(r.data)[e.offset : e.offset + e.length])
             assert warc.parse(raw)[0]["WARC-Record-ID"] == e.record_id
         assert b"".join(warc.records(bytes(r.data))) == gzip.decompress(bytes(r.data))
