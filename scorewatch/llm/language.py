@@ -153,14 +153,16 @@ def fit(
     cells = by_lang.groupBy("n", "term").agg(
         F.collect_list(F.struct("lang", "count")).alias("by_lang"), F.sum("count").alias("total")
     )
-    top = cells.orderBy(F.desc("total"), "n", "term").limit(max_terms).collect()
-    languages = sorted({c["lang"] for r in top for c in r["by_lang"]})
+    top = cells.orderBy(F.desc("total"), "n", "term").limit(max_terms)
+    rows = top.select("n", "term", "by_lang.lang", "by_lang.count").toArrow()
+    length, terms = rows["n"].to_numpy(), rows["term"].to_pylist()
+    lists = rows["lang"].combine_chunks()
+    langs, counts = lists.flatten(), rows["count"].combine_chunks().flatten().to_numpy()
+    languages = sorted(langs.unique().to_pylist())
     place = {x: i for i, x in enumerate(languages)}
-    table = np.zeros((len(top), len(languages)))
-    for i, r in enumerate(top):
-        for c in r["by_lang"]:
-            table[i, place[c["lang"]]] += c["count"]
-    length = np.array([r["n"] for r in top])
+    table = np.zeros((len(terms), len(languages)))
+    own = np.repeat(np.arange(len(terms)), lists.value_lengths().to_numpy())
+    np.add.at(table, (own, [place[x] for x in langs.to_pylist()]), counts)
     logs = np.zeros(table.shape, np.float32)
     words: dict[str, int] = {}
     grams: dict[str, int] = {}
@@ -169,7 +171,7 @@ def fit(
         at = np.flatnonzero(length == n)
         total = table[at].sum(axis=0) + 1
         logs[at] = np.log(table[at] + 0.01) - np.log(total)
-        (grams if n else words).update((top[i]["term"], int(i)) for i in at)
+        (grams if n else words).update((terms[i], int(i)) for i in at)
         floor = np.minimum(floor, -np.log(total).mean())
     return LanguageModel(languages, words, grams, logs, floor)
 
