@@ -24,7 +24,7 @@ columns are ignored, whatever their names; an empty table gives an empty table.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -290,17 +290,22 @@ def _crossing(
         "only",
     )
 
-    def pairs(rows: DataFrame, keys: list[str], extra: Column) -> DataFrame:
+    def pairs(rows: DataFrame, keys: list[str], extra: Column, more: Sequence[str] = ()) -> DataFrame:
         x = rows.select(*keys, *(F.col(c).alias(f"x_{c}") for c in rows.columns if c not in keys))
         y = rows.select(*keys, *(F.col(c).alias(f"y_{c}") for c in rows.columns if c not in keys))
         both = x.join(y, keys).where(extra & (F.col("x_component") != F.col("y_component")))
         both = both.where(_near(F.col("x_n"), F.col("y_n"), percent))
-        return both.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"))
+        found = [F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")]
+        if more:
+            found += [*more, (F.col("x_n") + F.col("y_n")).alias("sizes"), F.least("x_common", "y_common").alias("most")]
+        return both.select(*found)
 
     once = F.col("x_node") < F.col("y_node")
     unknown = pairs(mixed, ["value"], once & ~(F.col("x_known") & F.col("y_known")))
-    lacking = members.select("middle", "node", "n", "component", F.explode("only").alias("value"))
-    outside = pairs(lacking, ["middle", "value"], once)
+    lacking = members.select("middle", "node", "n", "component", "common", F.explode("only").alias("value"))
+    # What two members have in common is at most what both have of c, and what they share beside.
+    beside = pairs(lacking, ["middle", "value"], once, ["middle"]).groupBy("middle", "a", "b", "sizes", "most").count()
+    outside = beside.where((100 + percent) * (F.col("most") + F.col("count")) >= percent * F.col("sizes")).select("a", "b")
     order = (F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & once)
     need = percent * (F.col("x_n") + F.col("y_n"))
     inside = pairs(
