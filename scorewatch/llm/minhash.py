@@ -24,11 +24,11 @@ columns are ignored, whatever their names; an empty table gives an empty table.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -266,9 +266,11 @@ def _crossing(
     """Pairs of members of different components that may be similar and were not compared.
 
     Members x and y of a list that were both compared with its middle c, x without a link to
-    it, are similar only if they have a value in common that c lacks, or if all they have in
-    common lies in c. The first are met over the values that c lacks. For the second, both
-    must have so much in common with c as they need of each other. Only members that were
+    it, are similar only if they have values in common that c lacks, or if all they need of each
+    other lies in c. The first are met over the values that c lacks, but only over their rarest
+    ones: how many they must share beside c follows from their sizes and what they have of c
+    (prefix filter, exact). For the second, both must have so much in common with c as they
+    need of each other. Only members that were
     not compared with c, as their sizes forbid a link to it, are paired over the
     list itself. So edited copies of one text, each too far from the others, make no pairs.
     """
@@ -290,25 +292,29 @@ def _crossing(
         "only",
     )
 
-    def pairs(rows: DataFrame, keys: list[str], extra: Column, more: Sequence[str] = ()) -> DataFrame:
+    def pairs(rows: DataFrame, keys: list[str], extra: Column) -> DataFrame:
         x = rows.select(*keys, *(F.col(c).alias(f"x_{c}") for c in rows.columns if c not in keys))
         y = rows.select(*keys, *(F.col(c).alias(f"y_{c}") for c in rows.columns if c not in keys))
         both = x.join(y, keys).where(extra & (F.col("x_component") != F.col("y_component")))
         both = both.where(_near(F.col("x_n"), F.col("y_n"), percent))
-        found = [F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")]
-        if more:
-            found += [*more, (F.col("x_n") + F.col("y_n")).alias("sizes"), F.least("x_common", "y_common").alias("most")]
-        return both.select(*found)
+        return both.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"))
 
     once = F.col("x_node") < F.col("y_node")
     unknown = pairs(mixed, ["value"], once & ~(F.col("x_known") & F.col("y_known")))
-    lacking = members.select("middle", "node", "n", "component", "common", F.explode("only").alias("value"))
-    # What two members have in common is at most what both have of c, and what they share beside.
-    beside = pairs(lacking, ["middle", "value"], once, ["middle"]).groupBy("middle", "a", "b", "sizes", "most").count()
-    outside = beside.where((100 + percent) * (F.col("most") + F.col("count")) >= percent * F.col("sizes")).select("a", "b")
-    order = (F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & once)
     need = percent * (F.col("x_n") + F.col("y_n"))
-    inside = pairs(
-        members.drop("only"), ["middle"], order & (need <= (100 + percent) * F.least("x_common", "y_common"))
+    most = F.least("x_common", "y_common")
+    lacking = members.select("middle", "node", "n", "component", "common", F.explode("only").alias("value"))
+    shared = lacking.groupBy("middle", "value").agg(
+        F.count("*").alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi")
     )
+    shared = shared.where("lo <> hi").select("middle", "value", "df")
+    # With its values in order of rarity, `left` says how many a member has from this one on. The
+    # first value that two members share must leave each as many as they need beside the middle.
+    rarest_last = Window.partitionBy("middle", "node").orderBy(F.desc("df"), F.desc("value"))
+    beside = lacking.join(shared, ["middle", "value"]).withColumn("left", F.row_number().over(rarest_last))
+    beside = stage(beside.where(percent * F.col("n") <= 100 * (F.col("common") + F.col("left"))).drop("df"), "beside")
+    enough = (need <= (100 + percent) * (most + F.least("x_left", "y_left"))) & (need > (100 + percent) * most)
+    outside = pairs(beside, ["middle", "value"], once & enough)
+    order = (F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & once)
+    inside = pairs(members.drop("only"), ["middle"], order & (need <= (100 + percent) * most))
     return unknown.union(outside).union(inside).distinct()

@@ -105,6 +105,25 @@ def test_edited_copies_of_one_text(spark, docs):
     assert found == components_by_force(rows, 5, 80)
 
 
+def test_copies_that_share_what_their_original_lacks(spark, docs):
+    """Families with common edits and edits of their own, on both sides of the threshold to the original."""
+    draw = np.random.default_rng(11)
+    base = [f"b{i}" for i in range(200)]
+    rows = [(0, " ".join(base))]
+    for family in range(6):
+        common = draw.choice(200, 2 + family, replace=False)
+        for _ in range(9):
+            words = list(base)
+            for at in common:
+                words[at] = f"f{family}_{at}"
+            for at in draw.choice(200, int(draw.integers(0, 4)), replace=False):
+                words[at] = f"e{len(rows)}_{at}"
+            rows.append((len(rows), " ".join(words[: int(draw.integers(170, 201))])))
+    found = rows_by_id(minhash.near_duplicates(docs(rows), shingle=5))
+    assert found == components_by_force(rows, 5, 80)
+    assert 1 < len({component for _, component, _ in found.values()}) < len(rows)
+
+
 def test_near_duplicates_of_odd_rows(spark, docs):
     found = minhash.near_duplicates(docs(ODD)).collect()
     assert len(found) == len(ODD)
