@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorewatch.functions.columns import nan_to_null
-from scorewatch.functions.texts import split_feature
 from scorewatch.spec import FeatureSpec
 
 
@@ -70,27 +69,63 @@ def minmax_columns(df: DataFrame, ranges: Mapping[str, tuple[float | None, float
     return df.withColumns(scaled)
 
 
-def scaled_long(
-    df: DataFrame, spec: FeatureSpec, kind: str = "minmax", model=None, ids: Sequence[str] = ()
-) -> DataFrame:
-    """Scaled value per record and feature, in long form."""
-    vectors = scale(assemble(df.select(*ids, *spec.features), spec), kind, model)
-    values = vectors.select(*ids, vector_to_array("scaled_features").alias("_values"))
-    names = F.array(*[F.lit(f) for f in spec.features])
-    return values.select(*ids, F.inline(F.arrays_zip(names.alias("feature"), F.col("_values")))).toDF(
-        *ids, "feature", "scaled"
-    )
+def fit_deviations(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """Sample standard deviation per column, in one pass: one number each reaches the driver."""
+    found = df.agg(*[F.stddev_samp(nan_to_null(c)).alias(c) for c in columns]).first()
+    return found.asDict()
 
 
-def radar(scaled: DataFrame, ids: Sequence[str], statistics: Sequence[str]) -> DataFrame:
-    """One row per record and measure, one column per statistic, from :func:`scaled_long`.
+def standard_columns(df: DataFrame, deviations: Mapping[str, float | None]) -> DataFrame:
+    """Division by the sample standard deviation in plain column arithmetic, without centering.
 
-    Values outside the fitted range stay as they are; clamp them for display.
+    A constant column gives 0.0, as the ML scaler does; one without a deviation gives null.
     """
-    measure, statistic = split_feature("feature")
-    return scaled.groupBy(*ids, measure.alias("measure")).agg(
-        *[F.max(F.when(statistic == s, F.col("scaled"))).alias(s) for s in statistics]
-    )
+    scaled = {}
+    for c, deviation in deviations.items():
+        if deviation is None:
+            scaled[c] = F.lit(None).cast("double")
+        elif deviation == 0:
+            scaled[c] = F.when(F.col(c).isNotNull(), F.lit(0.0))
+        else:
+            scaled[c] = F.col(c) / F.lit(deviation)
+    return df.withColumns(scaled)
+
+
+def scaled_columns(df: DataFrame, columns: Sequence[str], kind: str = "minmax") -> DataFrame:
+    """Columns scaled by their own ranges or deviations, in generated code."""
+    if kind == "minmax":
+        return minmax_columns(df, fit_ranges(df, columns))
+    if kind == "standard":
+        return standard_columns(df, fit_deviations(df, columns))
+    raise ValueError(f"unknown scaler {kind!r}")
+
+
+def scaled_long(df: DataFrame, spec: FeatureSpec, kind: str = "minmax", ids: Sequence[str] = ()) -> DataFrame:
+    """Scaled value per record and feature, in long form. A missing value stays null."""
+    values = scaled_columns(df.select(*ids, *spec.features), spec.features, kind)
+    parts = [F.struct(F.lit(f).alias("feature"), F.col(f).alias("scaled")) for f in spec.features]
+    return values.select(*ids, F.inline(F.array(*parts)))
+
+
+def radar(scaled: DataFrame, spec: FeatureSpec, ids: Sequence[str], statistics: Sequence[str]) -> DataFrame:
+    """One row per record and measure, one column per statistic, from :func:`scaled_columns`.
+
+    The measures of a record are known from the names of its columns, so nothing is shuffled.
+    Values outside the fitted range stay as they are; clamp them for display. A statistic
+    that a measure lacks is null.
+    """
+    by_measure: dict[str, dict[str, str]] = {}
+    for f in spec.features:
+        measure, _, statistic = f.rpartition("_")
+        by_measure.setdefault(measure or f, {})[statistic if measure else ""] = f
+    rows = [
+        F.struct(
+            F.lit(measure).alias("measure"),
+            *[(F.col(of[s]) if s in of else F.lit(None).cast("double")).alias(s) for s in statistics],
+        )
+        for measure, of in by_measure.items()
+    ]
+    return scaled.select(*ids, F.inline(F.array(*rows)))
 
 
 def row_contributions(

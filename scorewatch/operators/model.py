@@ -17,8 +17,6 @@ from scorewatch.operators.features import assembler, scaler
 from scorewatch.sources.tables import from_rows
 from scorewatch.spec import FeatureSpec
 
-SMALL_FIT_ROWS = 10_000_000
-
 
 def split(
     df: DataFrame, train: float = 0.8, seed: int = 42, key: str | None = None, method: str = "hash"
@@ -41,27 +39,27 @@ def split(
 
 
 def train(
-    df: DataFrame, spec: FeatureSpec, max_iter: int = 10, scale_kind: str = "minmax"
+    df: DataFrame,
+    spec: FeatureSpec,
+    max_iter: int = 10,
+    scale_kind: str = "minmax",
+    partitions: int | None = None,
 ) -> PipelineModel:
     """Fit assembler, scaler and logistic regression on the training rows only.
 
-    The scaler never sees test rows, and the label is never a feature. A large table is
-    read as its files are split; the fit keeps its own compact copy between iterations. A
-    small one often comes as a single partition, so it is spread over the cores first.
+    The scaler never sees test rows, and the label is never a feature. The table is read as
+    its files are split, or in the given number of ``partitions`` where those are few; the
+    classifier keeps its own compact copy between iterations.
     """
+    rows = df.select(*spec.features, spec.label)
+    if partitions is not None:
+        rows = rows.repartition(partitions)
     stages = [
         assembler(spec, "error"),
         scaler(scale_kind),
         LogisticRegression(featuresCol="scaled_features", labelCol=spec.label, maxIter=max_iter),
     ]
-    rows = df.select(*spec.features, spec.label)
-    if rows.count() > SMALL_FIT_ROWS:
-        return Pipeline(stages=stages).fit(rows)
-    spread = rows.repartition(df.sparkSession.sparkContext.defaultParallelism).persist()
-    try:
-        return Pipeline(stages=stages).fit(spread)
-    finally:
-        spread.unpersist()
+    return Pipeline(stages=stages).fit(rows)
 
 
 def _scaled(model: MinMaxScalerModel | StandardScalerModel, spec: FeatureSpec) -> list[Column]:

@@ -127,6 +127,13 @@ def recent_series(
     return rows.filter(F.col(signal).isin(list(signals))).groupBy(entity, minute).agg(*means)
 
 
+def _checked(increment: str) -> Column:
+    """The increment, 0.0 where it is missing; a negative one raises."""
+    c = F.col(increment).cast("double")
+    wrong = F.raise_error(F.lit("increments must not be negative")).cast("double")
+    return F.when(c < 0, wrong).otherwise(F.coalesce(c, F.lit(0.0)))
+
+
 def capped_cumsum(
     df: DataFrame,
     by: Sequence[str],
@@ -142,26 +149,26 @@ def capped_cumsum(
     raises. A missing increment adds nothing.
     """
     points = split_points(df, order, ranges, by)
-    checked = F.when(
-        F.col(increment) < 0, F.raise_error(F.lit("increments must not be negative")).cast("double")
-    ).otherwise(F.coalesce(F.col(increment).cast("double"), F.lit(0.0)))
     summed = running_sums(
-        df.withColumn("_step", checked), by, order, {"_sum": "_step"}, points=points
+        df.withColumn("_step", _checked(increment)), by, order, {"_sum": "_step"}, points=points
     )
     risk = F.least(F.lit(float(cap)), F.lit(float(start)) + F.col("_sum"))
     return summed.withColumn("risk", risk).drop("_step", "_sum")
 
 
-def risk_outlook(path: DataFrame, by: Sequence[str], order: Sequence[str], start: float) -> DataFrame:
-    """Current and predicted risk per key from a risk path, and their difference."""
-    return (
-        latest(path.select(*by, *order, "risk"), order, by)
-        .withColumnRenamed("risk", "predicted_risk")
-        .withColumns(
-            {
-                "current_risk": F.lit(float(start)),
-                "difference": F.col("predicted_risk") - F.lit(float(start)),
-            }
-        )
-        .drop(*order)
+def risk_outlook(
+    df: DataFrame, by: Sequence[str], increment: str, start: float, cap: float = 1.0
+) -> DataFrame:
+    """Current and predicted risk per key, and their difference.
+
+    The end of the path of :func:`capped_cumsum`, which needs no order: one aggregation.
+    """
+    first = F.lit(float(start))
+    ends = df.groupBy(*by).agg(F.sum(_checked(increment)).alias("_sum"))
+    predicted = F.least(F.lit(float(cap)), first + F.col("_sum"))
+    return ends.select(
+        *by,
+        predicted.alias("predicted_risk"),
+        first.alias("current_risk"),
+        (predicted - first).alias("difference"),
     )

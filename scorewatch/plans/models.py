@@ -86,14 +86,13 @@ def row_contributions(spark, sf_dir):
     return parts.withColumn("contribution", r6("contribution"))
 
 
-# --- vectors and scalers -----------------------------------------------------------
+# --- vectors and scaling -----------------------------------------------------------
 
 
-def _by_ml(spark, sf_dir, kind):
-    lines = features.assemble(feature_table(spark, sf_dir), LINE_SPEC)
-    scaled = features.scale(lines, kind).select("l_orderkey", "l_linenumber", "scaled_features")
-    wide = features.vector_columns(scaled, "scaled_features", LINE_SPEC.features)
-    return wide.withColumns({c: r6(c) for c in LINE_SPEC.features})
+def _scaled_features(spark, sf_dir, kind):
+    lines = feature_table(spark, sf_dir).select("l_orderkey", "l_linenumber", *LINE_SPEC.features)
+    scaled = features.scaled_columns(lines, LINE_SPEC.features, kind)
+    return scaled.withColumns({c: r6(c) for c in LINE_SPEC.features})
 
 
 @query(
@@ -103,7 +102,7 @@ def _by_ml(spark, sf_dir, kind):
     + f" FROM {_SCALED_SQL}",
 )
 def minmax_scaled(spark, sf_dir):
-    return _by_ml(spark, sf_dir, "minmax")
+    return _scaled_features(spark, sf_dir, "minmax")
 
 
 @query(
@@ -113,7 +112,7 @@ def minmax_scaled(spark, sf_dir):
     + " FROM lineitem",
 )
 def standard_scaled(spark, sf_dir):
-    return _by_ml(spark, sf_dir, "standard")
+    return _scaled_features(spark, sf_dir, "standard")
 
 
 @query(
@@ -187,8 +186,8 @@ def radar(spark, sf_dir):
         .groupBy("l_orderkey")
         .agg(*[F.avg(c).alias(c) for c in _RADAR_SPEC.features])
     )
-    long = features.scaled_long(per_order, _RADAR_SPEC, ids=["l_orderkey"])
-    wide = features.radar(long, ["l_orderkey"], ["mean", "worst"])
+    scaled = features.scaled_columns(per_order, _RADAR_SPEC.features)
+    wide = features.radar(scaled, _RADAR_SPEC, ["l_orderkey"], ["mean", "worst"])
     return wide.withColumns({c: r6(c) for c in ("mean", "worst")})
 
 
@@ -216,7 +215,7 @@ def split_by_hash(spark, sf_dir):
 def train_lines(spark, sf_dir):
     """Model and held-out rows."""
     first, second = model.split(feature_table(spark, sf_dir), 0.8, key="l_orderkey")
-    return model.train(first, LINE_SPEC), second
+    return model.train(first, LINE_SPEC, partitions=spark.sparkContext.defaultParallelism), second
 
 
 @query("train_and_evaluate")

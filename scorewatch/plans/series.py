@@ -145,12 +145,15 @@ _RISK_SQL = f"""SELECT user_id, event_id, round(least(1.0, 0.32 + sum(value / 20
   PARTITION BY user_id ORDER BY ts, event_id)), 6) AS risk FROM {SCORED_SQL}"""
 
 
-def _risk_path(spark, sf_dir, ranges=None):
-    steps = scored_events(spark, sf_dir).select(
+def _risk_steps(spark, sf_dir):
+    return scored_events(spark, sf_dir).select(
         "user_id", "event_id", "ts", (F.col("value") / 2000).alias("increment")
     )
+
+
+def _risk_path(spark, sf_dir, ranges=None):
     return series.capped_cumsum(
-        steps, ["user_id"], ["ts", "event_id"], "increment", 0.32, ranges=ranges
+        _risk_steps(spark, sf_dir), ["user_id"], ["ts", "event_id"], "increment", 0.32, ranges=ranges
     )
 
 
@@ -172,7 +175,7 @@ def capped_risk_path_split(spark, sf_dir):
         FROM {SCORED_SQL} GROUP BY user_id""",
 )
 def risk_outlook(spark, sf_dir):
-    outlook = series.risk_outlook(_risk_path(spark, sf_dir), ["user_id"], ["ts", "event_id"], 0.32)
+    outlook = series.risk_outlook(_risk_steps(spark, sf_dir), ["user_id"], "increment", 0.32)
     return outlook.withColumns({c: r6(c) for c in ("predicted_risk", "difference")})
 
 

@@ -48,12 +48,23 @@ def test_standard_scaling_does_not_center(spark):
     assert [[round(x, 6) for x in v] for v in scaled(df, "standard")] == [[0.707107, 0.0], [2.12132, 0.0]]
 
 
+def test_standard_columns_equal_the_scaler(spark):
+    df = spark.createDataFrame([(1.0, 7.0), (3.0, 7.0), (4.5, 7.0)], "a double, b double").coalesce(1)
+    plain = features.scaled_columns(df, ["a", "b"], "standard")
+    assert [pytest.approx(v) for v in scaled(df, "standard")] == [[r.a, r.b] for r in plain.collect()]
+    assert "UDF" not in plain._jdf.queryExecution().executedPlan().toString()
+    one = features.scaled_columns(df.limit(1), ["a"], "standard").first()
+    assert one.a is None
+
+
 def test_radar_has_a_row_per_measure(spark):
     spec = tumour_spec()
     rows = [tuple(float(i) for i in range(30)), tuple(float(2 * i + 1) for i in range(30))]
     df = spark.createDataFrame(rows, spec.schema()).withColumn("id", F.monotonically_increasing_id())
-    long = features.scaled_long(df, spec, ids=["id"])
-    wide = features.radar(long, ["id"], ["mean", "se", "worst"])
+    assert features.scaled_long(df, spec, ids=["id"]).count() == 60
+    scaled = features.scaled_columns(df, spec.features)
+    wide = features.radar(scaled, spec, ["id"], ["mean", "se", "worst"])
+    assert "Exchange" not in wide._jdf.queryExecution().executedPlan().toString()
     assert wide.count() == 20
     assert "concave_points" in {r.measure for r in wide.collect()}
     assert {(r["mean"], r["se"], r["worst"]) for r in wide.collect()} == {(0.0, 0.0, 0.0), (1.0, 1.0, 1.0)}
