@@ -93,39 +93,55 @@ def overlaps(
     start, end = F.greatest("offset", F.lit(0)), F.least(F.col("offset") + F.size("own"), F.size("h"))
     x, y = F.slice("h", start + 1, end - start), F.slice("own", start - F.col("offset") + 1, end - start)
     side = side.select("id", "item", start.alias("start"), F.size("own").alias("n"), F.zip_with(x, y, lambda a, b: a == b).alias("same"))
+    enough = F.least(F.lit(least), "n")
+    side = side.where(F.size(F.filter("same", lambda x: x)) >= enough)
     checked = side.select("id", "item", "start", "n", stretch(F.col("same"), percent).alias("s"))
-    good = checked.where((F.col("s.best_equal") >= F.least(F.lit(least), "n")))
+    good = checked.where(F.col("s.best_equal") >= enough)
     return _best(good, id_col, item_col)
 
 
 def stretch(same: Column, percent: int) -> Column:
-    """The stretch of an array of equal / different with the most equal words to spare.
-
-    Equal words gain 100 - percent, others lose percent, so that every stretch with a gain has
-    at least that share of equal words. Fields: best (the gain), best_equal, best_from,
-    best_to (end exclusive).
+    """The stretch of an array of equal / different with the most equal words of all those in which
+    at least `percent` are equal; of ties the shortest, then the first.
+
+    Such a stretch begins and ends with an equal word. Word k of the equal ones, at place p, begins
+    one at height 100 k - percent p and ends one at 100 (k + 1) - percent (p + 1); a stretch has
+    its share if its end is not below its begin. In falling order of heights the furthest end so
+    far is therefore the furthest end of each begin. Fields: best_equal, best_from, best_to (end
+    exclusive).
     """
-    kind = "struct<i: int, gain: int, equal: int, from: int, best: int, best_equal: int, best_from: int, best_to: int>"
-
-    def step(s: Column, equal: Column) -> Column:
-        fresh = s["gain"] <= 0
-        gain = F.when(fresh, 0).otherwise(s["gain"]) + F.when(equal, 100 - percent).otherwise(-percent)
-        count = F.when(fresh, 0).otherwise(s["equal"]) + equal.cast("int")
-        begin = F.when(fresh, s["i"]).otherwise(s["from"])
-        better = gain > s["best"]
+    kind = "struct<far: int, far_to: int, best_equal: int, best_from: int, best_to: int>"
+    zero = F.struct(*(F.lit(x) for x in (-1, 0, 0, 0, 0))).cast(kind)
+
+    def marks(places: Column, end: int) -> Column:
+        """(-height, 0 for an end, number of the equal word, its place)."""
+        return F.transform(
+            places,
+            lambda p, k: F.struct(
+                (percent * (p + end) - 100 * (k + end)).alias("down"), F.lit(1 - end).alias("begin"), k.alias("k"), p.alias("p")
+            ),
+        )
+
+    def step(s: Column, m: Column) -> Column:
+        further = (m["begin"] == 0) & (m["k"] > s["far"])
+        count, size, best_size = s["far"] - m["k"] + 1, s["far_to"] - m["p"], s["best_to"] - s["best_from"]
+        fewer = (size < best_size) | ((size == best_size) & (m["p"] < s["best_from"]))
+        better = (m["begin"] == 1) & ((count > s["best_equal"]) | ((count == s["best_equal"]) & fewer))
         return F.struct(
-            (s["i"] + 1).alias("i"),
-            gain.alias("gain"),
-            count.alias("equal"),
-            begin.alias("from"),
-            F.when(better, gain).otherwise(s["best"]).alias("best"),
+            F.when(further, m["k"]).otherwise(s["far"]).alias("far"),
+            F.when(further, m["p"] + 1).otherwise(s["far_to"]).alias("far_to"),
             F.when(better, count).otherwise(s["best_equal"]).alias("best_equal"),
-            F.when(better, begin).otherwise(s["best_from"]).alias("best_from"),
-            F.when(better, s["i"] + 1).otherwise(s["best_to"]).alias("best_to"),
+            F.when(better, m["p"]).otherwise(s["best_from"]).alias("best_from"),
+            F.when(better, s["far_to"]).otherwise(s["best_to"]).alias("best_to"),
         ).cast(kind)
 
-    zero = F.struct(*(F.lit(0) for _ in range(8))).cast(kind)
-    return F.aggregate(same, zero, step)
+    places = F.filter(F.transform(same, lambda x, i: F.when(x, i)), lambda i: i.isNotNull())
+    # The places are bound by a lambda, so that they are made once.
+    found = F.transform(
+        F.array(places),
+        lambda at: F.aggregate(F.array_sort(F.concat(marks(at, 1), marks(at, 0))), zero, step),
+    )
+    return found[0]
 
 
 def _best(good: DataFrame, id_col: str, item_col: str) -> DataFrame:

@@ -332,3 +332,38 @@ def test_substituted_leaks(spark, docs):
     assert {(r.doc_id, r.item_id, r.matched_words) for r in found} == {(1, 1, 27), (3, 1, 13)}
     assert decontaminate.overlaps(docs(ODD), items).count() == 0
     assert decontaminate.overlaps(docs([]), items.limit(0)).count() == 0
+
+
+def stretch_by_force(same, percent):
+    """(-equal, length, begin) of the best stretch."""
+    n = len(same)
+    all_ = [(sum(same[i:j]), j - i, i) for i in range(n) for j in range(i + 1, n + 1)]
+    return min(((-e, size, i) for e, size, i in all_ if e and 100 * e >= percent * size), default=(0, 0, 0))
+
+
+def test_stretches_equal_brute_force(spark):
+    draw = np.random.default_rng(7)
+    rows = [(draw.random(n) < draw.choice([0.5, 0.75, 0.9])).tolist() for n in range(14, 26) for _ in range(40)]
+    rows += [[True] * 12 + [False] * 3 + [True] * 8, [True] * 12 + [False] * 4 + [True] * 12, [False] * 9, [True], []]
+    df = spark.createDataFrame([(k, r) for k, r in enumerate(rows)], "k int, same array<boolean>")
+    for percent in (60, 75, 100):
+        for r in df.select("k", decontaminate.stretch(df.same, percent).alias("s")).collect():
+            found = (-r.s.best_equal, r.s.best_to - r.s.best_from, r.s.best_from)
+            assert found == stretch_by_force(rows[r.k], percent), (percent, rows[r.k])
+
+
+def test_leaks_whose_gain_peaks_early(spark, docs):
+    """Every two replaced words in an item of 16 are verified where a seed hits, and two long examples."""
+    cases, seeded = [], set()
+    for at in ((i, j) for i in range(16) for j in range(i + 1, 16)):
+        if any(not {f + x for x in mask} & set(at) for mask in decontaminate.MASKS for f in range(16 - decontaminate.SPAN + 1)):
+            seeded.add(len(cases))
+        cases.append(" ".join("new" if i in at else f"i{i}" for i in range(16)))
+    rows = [*enumerate(cases)]
+    for size, gone in ((23, range(12, 15)), (28, range(12, 16))):
+        seeded.add(len(rows))
+        rows.append((len(rows), " ".join("new" if i in gone else f"j{size}_{i}" for i in range(size))))
+    items = [(1, " ".join(f"i{i}" for i in range(16)))] + [(n, " ".join(f"j{n}_{i}" for i in range(n))) for n in (23, 28)]
+    found = decontaminate.overlaps(docs(rows), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {r.doc_id for r in found} == seeded
+    assert {r.doc_id: (r.item_id, r.matched_words) for r in found if r.doc_id >= 120} == {120: (23, 20), 121: (28, 24)}
