@@ -4,8 +4,8 @@ A document's set holds the hashes of its distinct shingles; its sketch is the k
 Documents with equal sets form a class, of which one member goes on. Retained values are
 inverted: every value leads to the classes that keep it. A class enters only the lists of
 its rarest values, as many as any class with the wanted similarity must meet in one (prefix
-filter; exact for sets up to k, else sized for OVERLAP common values, which a pair at the
-threshold misses with a probability of about 1e-6). A value that most texts share is therefore
+filter; exact for sets up to k, whose partners may be larger; beyond k sized for OVERLAP common
+values, which a pair at the threshold misses with a probability of about 1e-6). A value that most texts share is therefore
 used only by texts that consist of such values.
 
 Within a list, members are paired with its middle, the member that shares most of its values
@@ -179,6 +179,10 @@ def near_duplicates(
     )
     size = F.least("n", F.lit(SKETCH))
     exact = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1
+    # A partner beyond a sketch retains SKETCH values, of which the set lacks most - n at most, so
+    # that they share SKETCH - (most - n) retained ones at least.
+    most = F.floor(100 * F.col("n") / percent)
+    exact = F.greatest(exact, most - SKETCH + 1)
     prefix = F.when(F.col("n") <= SKETCH, exact).otherwise(SKETCH - OVERLAP + 1)
     room = (prefix - (size - F.size("held"))).cast("int")
     lists = stage(

@@ -124,6 +124,19 @@ def test_copies_that_share_what_their_original_lacks(spark, docs):
     assert 1 < len({component for _, component, _ in found.values()}) < len(rows)
 
 
+def test_whole_sets_and_partners_beyond_a_sketch(spark, docs):
+    """Isolated pairs of 120 to 128 shingles and their extensions to 150 to 160."""
+    rows = []
+    for n, m in ((128, 160), (128, 158), (127, 158), (126, 157), (124, 155), (120, 150)):
+        for _ in range(8):
+            words = [f"p{len(rows)}_{i}" for i in range(m + 4)]
+            rows.append((len(rows), " ".join(words[: n + 4])))
+            rows.append((len(rows), " ".join(words)))
+    found = rows_by_id(minhash.near_duplicates(docs(rows), shingle=5))
+    force = components_by_force(rows, 5, 80)
+    assert found == force and not any(force[k][2] for k in range(1, len(rows), 2) if k < 48)
+
+
 def test_near_duplicates_of_odd_rows(spark, docs):
     found = minhash.near_duplicates(docs(ODD)).collect()
     assert len(found) == len(ODD)
