@@ -11,6 +11,7 @@ import pytest
 
 from scorewatch.llm import pages, warc
 from scorewatch.llm.queries import QUERIES
+from scorewatch.operators.ordered import split_points
 from test_documents import components_by_force
 
 PAGE = "page_id bigint, url string, html string, host string, digest string"
@@ -84,6 +85,20 @@ def test_template_of_the_nearest_page_goes(spark):
     assert pages.main_text(site(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_neighbours_lie_beyond_copies_and_partitions(spark, monkeypatch, parts):
+    """Five copies between other pages, and each page alone in its partition."""
+    page = "<p>Site head</p><p>{}</p><p>Site end</p>"
+    rows = [(k, f"http://h/a/{k}", page.format("copy" if 2 <= k <= 6 else f"story {k}")) for k in range(1, 9)]
+    rows += [(9, "http://h/a/9", "<article>own</article>"), (10, "http://i/1", page.format("alone"))]
+    if parts > 1:
+        monkeypatch.setattr(pages, "split_points", lambda df, order, by: split_points(df, order, 4, by))
+    found = pages.main_text(site(spark, rows).repartition(parts)).collect()
+    want = {k: "copy" if 2 <= k <= 6 else f"story {k}" for k in range(1, 9)} | {9: "own", 10: "Site head alone Site end"}
+    assert {r.page_id: r.text for r in found} == want and len(found) == 10
+    assert all(r.n_chars == len(r.text) for r in found)
+
+
 # --- archives ----------------------------------------------------------------------
 
 
