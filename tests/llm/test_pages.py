@@ -68,6 +68,22 @@ def test_lines(page, lines):
     assert [x.text for x in pages.lines_of(page)] == lines
 
 
+@pytest.mark.parametrize(
+    ("page", "lines"),
+    [
+        ('<html class="sidebar"><body class="has-sidebar search"><p>text of the page</p></body></html>', ["text of the page"]),
+        ('<div id="page" class="with-ads"><p>a</p><div class="ad">buy</div><p>rest of it</p></div>', ["a", "rest of it"]),
+        ('<article><div class="entry no-comments"><p>body</p></div></article>', ["body"]),
+        ('<article><h1>head</h1><div class="entry comments"><p>the whole body</p></div></article>', ["head", "the whole body"]),
+        ('<form id=all><p>nearly all of the text</p><div class=social-links>x y</div></form><p>end', ["nearly all of the text", "end"]),
+        ('<div class="sidebar wide"><div><p>most of the text</p></div></div><p>less</p>', ["most of the text", "less"]),
+        ('<p>the text itself</p><div class="related-posts">other<div>x</div></div> on <span class="ad">z</span>', ["the text itself", "on"]),
+    ],
+)
+def test_wrappers_stay(page, lines):
+    assert [x.text for x in pages.lines_of(page)] == lines
+
+
 def test_template_of_the_nearest_page_goes(spark):
     rows = [
         (1, "http://h/a/1", "<p>Site head</p><p>first story</p><p>Site end</p>"),
