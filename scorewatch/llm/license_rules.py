@@ -112,11 +112,11 @@ PHRASES: list[tuple[str, int, str, str]] = [
     ("cc0", 50, "no rights reserved", r"no rights reserved"),
     ("cc", 30, "creative commons", r"(?:under|by) (?:a|the) creative commons licen[cs]e"),
     ("proprietary", 50, "proprietary", r"proprietary and confidential"),
-    ("proprietary", 45, "unauthorized", r"unauthori[sz]ed (?:copying|reproduction|distribution|use) .{0,60}?(?:is )?(?:strictly )?prohibited"),
+    ("proprietary", 45, "unauthori", r"unauthori[sz]ed (?:copying|reproduction|distribution|use) .{0,60}?(?:is )?(?:strictly )?prohibited"),
     ("proprietary", 40, "reproduced", r"may not be reproduced .{0,60}?without .{0,40}?permission"),
     ("proprietary", 40, "redistributed", r"may not be published broadcast rewritten or redistributed"),
     ("reserved", 35, "some rights reserved", r"some rights reserved"),
-    ("copyright", 20, "copyright", r"copyright (?:c )?(?:19|20)\d\d"),
+    ("copyright", 20, "copyright", r"copyright (?:c |© ?)?(?:19|20)\d\d"),
     ("copyright", 15, "copyright", r"copyright (?:holders?|owners?|notice)"),
     ("license", 10, "licensed under", r"licensed under(?: the terms of)? the \w+(?: \w+){0,3}? licen[cs]e"),
     ("license", 5, "terms of use", r"terms of use"),

@@ -59,6 +59,49 @@ def test_every_keyword_stands_in_what_its_rule_matches():
         assert all(w[:5] in pattern.replace("licen[cs]e", "license") for w in words), (keyword, pattern)
 
 
+def alternatives(parsed):
+    """Texts that a pattern matches: every branch and letter, repeats at both ends of 0, 1 or their least."""
+    texts = [""]
+    for op, arg in parsed:
+        match str(op):
+            case "LITERAL":
+                more = [chr(arg)]
+            case "ANY":
+                more = ["x"]
+            case "IN":
+                more = [chr(v) if str(kind) == "LITERAL" else "1" for kind, v in arg]
+            case "BRANCH":
+                more = [x for branch in arg[1] for x in alternatives(branch)]
+            case "SUBPATTERN":
+                more = alternatives(arg[-1])
+            case "MAX_REPEAT" | "MIN_REPEAT":
+                low, high, inner = arg
+                more = [x * n for x in alternatives(inner) for n in {low, min(high, max(low, 1))}]
+            case _:
+                raise AssertionError(op)
+        texts = [t + x for t in texts for x in more]
+    return texts
+
+
+def test_every_alternative_passes_the_prefilter():
+    scanner = licenses.Scanner()
+    for i, (_, _, _, pattern) in enumerate(licenses.build()):
+        for text in alternatives(re._parser.parse(pattern)):
+            words = licenses.plain_words(text)
+            if scanner.rules[i][3].search(words):
+                assert i in {rule for *_, rule in scanner.detections(words)}, (pattern, text)
+
+
+def test_both_spellings_and_the_copyright_sign():
+    scanner = licenses.Scanner()
+    for text, label in (
+        ("Unauthorised copying of this file is strictly prohibited", "proprietary"),
+        ("Unauthorized use prohibited", "proprietary"),
+        ("Copyright © 2024 A", "copyright"), ("Copyright ©1999 A", "copyright"), ("Copyright (c) 2024 A", "copyright"),
+    ):
+        assert label in scanner.scan(text)[5].split(","), text
+
+
 # --- near duplicates ---------------------------------------------------------------
 
 
