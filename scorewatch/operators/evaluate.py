@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorewatch.functions.columns import nan_to_null
-from scorewatch.operators.ordered import running_sums, split_points
+from scorewatch.operators.ordered import running_sums
 
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -94,8 +94,6 @@ def _hits_by_score(
         (F.col(label) == 1).cast("bigint").alias("_pos"),
         (F.col(label) != 1).cast("bigint").alias("_neg"),
     )
-    # Counted before the filter, so that the count need not compute the scores.
-    points = split_points(scored, ["_down"], ranges)
     known = scored.filter(F.col("_pos").isNotNull() & F.col("_down").isNotNull())
     grouped = known.groupBy("_down").agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"))
     return running_sums(
@@ -104,7 +102,7 @@ def _hits_by_score(
         ["_down"],
         {"true_positives": "_pos", "false_positives": "_neg"},
         {"_all_pos": "_pos", "_all_neg": "_neg"},
-        points,
+        ranges,
     )
 
 

@@ -1,65 +1,28 @@
 """Running sums and previous-row lookups that survive a hot key.
 
-``sum(...) OVER (PARTITION BY key ORDER BY ...)`` sorts every row of a key in one
-task, so a key with a third of the table stalls the job. Above
-``SINGLE_TASK_ROWS`` rows the functions here cut the order into ranges and run the
-window inside (key, range). What the earlier ranges of a key add up to, or their
-last row, is put in front of each range as one more row. Only keys with more than a
-range's worth of rows are cut; the others stay whole. The result is the same; only
-the split of the work differs.
+``sum(...) OVER (PARTITION BY key ORDER BY ...)`` sorts every row of a key in one task, so a
+key with a third of the table stalls the job. Here rows are dealt by range of (key, order),
+whatever the size of the table, and written with the number of their partition. The window
+runs inside (partition, key). A key that lies in several partitions is the first or the last
+of each of them, so what goes before it is known from two rows per partition: its share of
+the sums, or its last row. These come back to the rows by partition number and key.
+
+Numbers are read from the written table: dealing the rows a second time might cut them
+elsewhere. Rows that are equal in key and order are never parted.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-SINGLE_TASK_ROWS = 1_000_000
-SAMPLE_PER_RANGE = 16
+from scorewatch.session import stage
 
-_X = "_ordered_x"
-_RANGE = "_ordered_range"
-_CUTS = "_ordered_cuts"
-_HOT = "_ordered_hot"
-_ROW = "_ordered_row"
-
-
-@dataclass(frozen=True)
-class Cuts:
-    """Tuples of the order columns at which to cut, ascending, each behind its number ``x``,
-    and the keys to cut: at most one per range."""
-
-    order: tuple[str, ...]
-    schema: T.StructType
-    rows: tuple[Row, ...]
-    key_schema: T.StructType
-    hot: tuple[Row, ...]
-
-
-def range_count(df: DataFrame) -> int:
-    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(64, min(4 * shuffle, 16_384))
-
-
-def _as_number(df: DataFrame, name: str) -> Column:
-    """A double that grows with the column; the same for all values where there is none."""
-    c, dtype = F.col(name), df.schema[name].dataType
-    if isinstance(dtype, T.NumericType):
-        return c.cast("double")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        # From its parts, because a detour over UTC is not monotone where clocks change.
-        day = F.unix_date(F.to_date(c)) * F.lit(86_400.0)
-        return day + F.hour(c) * 3600 + F.minute(c) * 60 + F.extract(F.lit("SECOND"), c).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    return F.when(c.isNotNull(), F.lit(0.0))
+_PART = "_ordered_part"
+_KEY = "_ordered_key"
+_SHARE = "_ordered_share"
 
 
 def _key_of(by: Sequence[str]) -> Column:
@@ -67,111 +30,32 @@ def _key_of(by: Sequence[str]) -> Column:
     return F.struct(F.lit(0).alias("_0"), *by)
 
 
-def split_points(
-    df: DataFrame, order: Sequence[str], ranges: int | None = None, by: Sequence[str] = ()
-) -> Cuts | None:
-    """Where to cut the order and which keys, or None when one task can hold a whole key.
-
-    Whole tuples are cut, so many rows with one timestamp are still split by the
-    tiebreak column. About SAMPLE_PER_RANGE rows per range reach the driver, whatever
-    the size of the table. ``ranges`` forces the split on small data too.
-    """
-    numbers = df.select(_as_number(df, order[0]).alias(_X), *order)
-    rows = numbers.count()
-    if ranges is None:
-        if rows <= SINGLE_TASK_ROWS:
-            return None
-        ranges = range_count(df)
-    wanted = SAMPLE_PER_RANGE * ranges
-    both = df.select(
-        F.struct(_as_number(df, order[0]).alias(_X), *order).alias("at"), _key_of(by).alias("key")
-    )
-    sample = both if rows <= wanted else both.sample(fraction=wanted / rows, seed=17)
-    # Sorted by Spark, so that nulls and NaN rank as they do in the window.
-    drawn = sample.sort(*[f"at.{c}" for c in order]).collect()
-    step = max(1, len(drawn) // ranges)
-    counted = Counter(r["key"] for r in drawn)
-    return Cuts(
-        tuple(order),
-        numbers.schema,
-        tuple(dict.fromkeys(r["at"] for r in drawn[step::step])),
-        both.schema["key"].dataType,
-        tuple(k for k, n in counted.items() if n >= step),
-    )
-
-
-def _add_range(df: DataFrame, cuts: Cuts) -> DataFrame:
-    """Number each row by range, in order.
+def dealt(df: DataFrame, by: Sequence[str], order: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """The rows, written, with the number of their range of (key, order): ascending, nulls first.
 
-    The first order column decides by a binary search over numbers. Only where several cuts
-    share its value are whole tuples searched.
+    ``ranges`` is the number of partitions; Spark's setting decides without it.
     """
-    xs = [r[_X] for r in cuts.rows]
-    finite = sorted({x for x in xs if x is not None and math.isfinite(x)})
-    # -1 for null, as nulls come first; NaN has a bucket after the last number.
-    numbered = df.withColumn(_X, _as_number(df, cuts.order[0]))
-    if finite:
-        splits = [-math.inf, *finite, math.inf]
-        bucketizer = Bucketizer(splits=splits, inputCol=_X, outputCol=_RANGE, handleInvalid="keep")
-        numbered = bucketizer.transform(numbered)
-    else:
-        numbered = numbered.withColumn(_RANGE, F.when(F.isnan(_X), 1).otherwise(0))
-    bucket = F.when(F.col(_X).isNull(), F.lit(-1)).otherwise(F.col(_RANGE)).cast("bigint")
-    numbered = numbered.withColumn(_RANGE, bucket).drop(_X)
-
-    def bucket_of(x: float | None) -> int:
-        if x is None:
-            return -1
-        if math.isnan(x):
-            return len(finite) + 1 if finite else 1
-        return sum(f <= x for f in finite)
-
-    shared = [x for x, n in Counter("nan" if x is not None and math.isnan(x) else x for x in xs).items() if n > 1]
-    if not shared:
-        return numbered
-    hot = sorted({bucket_of(math.nan if x == "nan" else x) for x in shared})
-    return _search_tuples(numbered, cuts, F.col(_RANGE).isin(hot))
-
-
-def _search_tuples(df: DataFrame, cuts: Cuts, where: Column) -> DataFrame:
-    order = list(cuts.order)
-    points = df.sparkSession.createDataFrame(cuts.rows, cuts.schema)
-    found_cuts = points.agg(F.sort_array(F.collect_set(F.struct(*order)))).scalar()
-    row = F.struct(*[F.col(c) for c in order])
-    widths = F.array(*[F.lit(1 << i) for i in reversed(range(len(cuts.rows).bit_length()))])
-
-    def step(found: Column, width: Column) -> Column:
-        return F.when(F.get(F.col(_CUTS), found + width - 1) <= row, found + width).otherwise(found)
-
-    at = F.when(where, F.aggregate(widths, F.lit(0), step)).otherwise(0)
-    # The array is projected first because a subquery may not stand inside a lambda.
-    return (
-        df.withColumn(_CUTS, found_cuts)
-        .withColumn(_RANGE, F.col(_RANGE) * F.lit(1 << 20) + at)
-        .drop(_CUTS)
+    columns = [F.col(c) for c in (*by, *order)]
+    cut = df.repartitionByRange(*columns) if ranges is None else df.repartitionByRange(ranges, *columns)
+    return stage(cut.withColumn(_PART, F.spark_partition_id()), "ordered")
+
+
+def _edges(rows: DataFrame, by: Sequence[str], share: Column) -> DataFrame:
+    """(partition, key, share) of the first and the last key of every partition."""
+    per_key = rows.groupBy(_PART, _key_of(by).alias(_KEY)).agg(share.alias(_SHARE))
+    at = F.struct(_KEY, _SHARE)
+    ends = per_key.groupBy(_PART).agg(F.min_by(at, _KEY).alias("first"), F.max_by(at, _KEY).alias("last"))
+    # A partition of one key has one end.
+    return ends.select(
+        _PART, F.inline(F.when(F.col(f"first.{_KEY}") == F.col(f"last.{_KEY}"), F.array("last")).otherwise(F.array("first", "last")))
     )
 
 
-def _cut(df: DataFrame, by: Sequence[str], cuts: Cuts) -> tuple[DataFrame, DataFrame]:
-    """The rows with their range, 0 for keys that stay whole; and the rows of the other keys."""
-    spark = df.sparkSession
-    if not by:
-        ranged = _add_range(df, cuts)
-        return ranged, ranged
-    # As many rows as there are ranges at most, so the broadcast has a fixed bound.
-    keys = spark.createDataFrame([(k,) for k in cuts.hot], T.StructType([T.StructField(_HOT, cuts.key_schema)]))
-    hot_keys = F.broadcast(keys)
-    is_hot = _key_of(by) == F.col(_HOT)
-    marked = _add_range(df.join(hot_keys, is_hot, "left"), cuts)
-    whole = F.when(F.col(_HOT).isNotNull(), F.col(_RANGE)).otherwise(F.lit(0).cast("bigint"))
-    hot_rows = _add_range(df.join(hot_keys, is_hot, "left_semi"), cuts)
-    return marked.withColumn(_RANGE, whole).drop(_HOT), hot_rows
-
-
-def _windows(by: Sequence[str], order: Sequence[str]):
-    """Inside a range behind its carried row; over the ranges of a key."""
-    inside = Window.partitionBy(*by, _RANGE).orderBy(_ROW, *order)
-    return inside, Window.partitionBy(*by).orderBy(_RANGE)
+def _with_carried(rows: DataFrame, by: Sequence[str], carried: DataFrame) -> DataFrame:
+    """Rows beside what is carried to their key; at most two rows per partition are broadcast."""
+    carried = carried.withColumnsRenamed({_PART: "_carried_part", _KEY: "_carried_key"})
+    here = (F.col(_PART) == F.col("_carried_part")) & (_key_of(by) == F.col("_carried_key"))
+    return rows.join(F.broadcast(carried), here, "left")
 
 
 def running_sums(
@@ -180,57 +64,36 @@ def running_sums(
     order: Sequence[str],
     sums: Mapping[str, str],
     totals: Mapping[str, str] | None = None,
-    points: Cuts | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add inclusive running sums, and per-key totals, over an ascending unique order.
 
-    ``sums`` and ``totals`` map a new column name to the column it adds up; every
-    column must be non-null. ``points`` comes from :func:`split_points`.
+    ``sums`` and ``totals`` map a new column name to the column it adds up; every column must be
+    non-null.
     """
     totals = dict(totals or {})
-    if points is None:
-        ahead = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        whole = Window.partitionBy(*by)
-        return df.withColumns(
-            {n: F.sum(c).over(ahead) for n, c in sums.items()}
-            | {n: F.sum(c).over(whole) for n, c in totals.items()}
-        )
-    ranged, to_carry = _cut(df, by, points)
-    inside, over_ranges = _windows(by, order)
-    earlier = over_ranges.rowsBetween(Window.unboundedPreceding, -1)
-    parts = to_carry.groupBy(*by, _RANGE).agg(
-        *[F.sum(c).alias(f"_s_{n}") for n, c in sums.items()],
-        *[F.sum(c).alias(f"_t_{n}") for n, c in totals.items()],
+    rows = dealt(df, by, order, ranges)
+    parts = {f"s{i}": c for i, c in enumerate(sums.values())} | {f"t{i}": c for i, c in enumerate(totals.values())}
+    edges = _edges(rows, by, F.struct(*[F.sum(c).alias(p) for p, c in parts.items()]))
+    # As many rows of a key as there are partitions at most.
+    of_key = Window.partitionBy(_KEY)
+    earlier = of_key.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    carried = edges.select(
+        _PART,
+        _KEY,
+        *[F.sum(f"{_SHARE}.s{i}").over(earlier).alias(f"_ordered_s{i}") for i in range(len(sums))],
+        *[F.sum(f"{_SHARE}.t{i}").over(of_key).alias(f"_ordered_t{i}") for i in range(len(totals))],
     )
-    carried = parts.select(
-        *by,
-        _RANGE,
-        F.lit(0).alias(_ROW),
-        *[F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)).alias(f"_v_{n}") for n in sums],
-        *[F.sum(f"_t_{n}").over(Window.partitionBy(*by)).alias(f"_v_{n}") for n in totals],
+    here = Window.partitionBy(_PART, *by)
+    ahead = here.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = rows.withColumns(
+        {n: F.sum(c).over(ahead) for n, c in sums.items()} | {n: F.sum(c).over(here) for n, c in totals.items()}
     )
-    rows = ranged.select(
-        "*",
-        F.lit(1).alias(_ROW),
-        *[F.col(c).alias(f"_v_{n}") for n, c in sums.items()],
-        *[F.col(c).alias(f"_v_{n}") for n, c in totals.items()],
-    )
-    ahead = inside.rowsBetween(Window.unboundedPreceding, 0)
-    here = Window.partitionBy(*by, _RANGE)
-    # A carried row holds the total of its key; without one the key is whole in its range.
-    carries = F.max(F.when(F.col(_ROW) == 0, F.lit(1))).over(here)
-    summed = rows.unionByName(carried, allowMissingColumns=True).select(
+    return _with_carried(local, by, carried).select(
         *df.columns,
-        _ROW,
-        *[F.sum(f"_v_{n}").over(ahead).alias(n) for n in sums],
-        *[
-            F.when(carries == 1, F.max(F.when(F.col(_ROW) == 0, F.col(f"_v_{n}"))).over(here))
-            .otherwise(F.sum(f"_v_{n}").over(here))
-            .alias(n)
-            for n in totals
-        ],
+        *[(F.col(n) + F.coalesce(f"_ordered_s{i}", F.lit(0))).alias(n) for i, n in enumerate(sums)],
+        *[F.coalesce(f"_ordered_t{i}", n).alias(n) for i, n in enumerate(totals)],
     )
-    return summed.filter(F.col(_ROW) == 1).drop(_ROW)
 
 
 def previous_row(
@@ -239,20 +102,13 @@ def previous_row(
     order: Sequence[str],
     columns: Sequence[str],
     into: str = "previous",
-    points: Cuts | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add a struct of the given columns of the row before, null on the first row of a key."""
     wanted = F.struct(*columns)
-    if points is None:
-        return df.withColumn(into, F.lag(wanted).over(Window.partitionBy(*by).orderBy(*order)))
-    ranged, to_carry = _cut(df, by, points)
-    inside, over_ranges = _windows(by, order)
-    last = to_carry.groupBy(*by, _RANGE).agg(F.max_by(wanted, F.struct(*order)).alias("_last"))
-    carried = last.select(
-        *by, _RANGE, F.lit(0).alias(_ROW), F.lag("_last").over(over_ranges).alias("_v")
-    )
-    rows = ranged.select("*", F.lit(1).alias(_ROW), wanted.alias("_v"))
-    seen = rows.unionByName(carried, allowMissingColumns=True).select(
-        *df.columns, _ROW, F.lag("_v").over(inside).alias(into)
-    )
-    return seen.filter(F.col(_ROW) == 1).drop(_ROW)
+    rows = dealt(df, by, order, ranges)
+    edges = _edges(rows, by, F.max_by(wanted, F.struct(*order)))
+    before = F.lag(_SHARE).over(Window.partitionBy(_KEY).orderBy(_PART))
+    carried = edges.select(_PART, _KEY, before.alias("_ordered_before"))
+    local = rows.withColumn(into, F.lag(wanted).over(Window.partitionBy(_PART, *by).orderBy(*order)))
+    return _with_carried(local, by, carried).select(*df.columns, F.coalesce(into, "_ordered_before").alias(into))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorewatch.functions.columns import nan_to_null
-from scorewatch.operators.ordered import running_sums, split_points
+from scorewatch.operators.ordered import running_sums
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -41,10 +41,8 @@ def quantiles(
     of any size is spread over tasks. ``percentile`` would keep every distinct value of
     a group in the memory of one.
     """
-    values = df.select(*by, nan_to_null(column).alias("_value"))
-    points = split_points(values, ["_value"], ranges, by)
     counts = _value_counts(df, column, by)
-    ranked = running_sums(counts, by, ["_value"], {"_seen": "_n"}, {"_total": "_n"}, points)
+    ranked = running_sums(counts, by, ["_value"], {"_seen": "_n"}, {"_total": "_n"}, ranges)
     position = {n: F.lit(p) * (F.col("_total") - 1) for n, p in probabilities.items()}
     found = ranked.groupBy(*by).agg(
         F.sum("_n").alias("n"),

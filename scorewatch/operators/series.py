@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorewatch.operators.ordered import previous_row, running_sums, split_points
-
-COARSE_GRAINS = ("hour", "day", "week", "month", "quarter", "year")
+from scorewatch.operators.ordered import previous_row, running_sums
 
 
 def _same_type(df: DataFrame, ts: str, c: Column) -> Column:
@@ -29,19 +27,15 @@ def cumulative_counts(
     kept = df.filter(F.col(ts).isNotNull() & F.col(label).isin(list(labels)))
     if grain is not None:
         kept = kept.withColumn(ts, _same_type(df, ts, F.date_trunc(grain, ts)))
-    # Hours and longer periods are few whatever the number of rows.
-    few = grain in COARSE_GRAINS and ranges is None
-    points = None if few else split_points(kept, [ts], ranges, [label])
     counted = kept.groupBy(label, ts).agg(F.count(F.lit(1)).alias("n"))
-    return running_sums(counted, [label], [ts], {"cumulative": "n"}, points=points)
+    return running_sums(counted, [label], [ts], {"cumulative": "n"}, ranges=ranges)
 
 
 def dedup_consecutive(
     df: DataFrame, ts: str, order: Sequence[str], by: Sequence[str] = (), ranges: int | None = None
 ) -> DataFrame:
     """Drop a record whose timestamp equals that of the record before it in ``order``."""
-    points = split_points(df, order, ranges, by)
-    seen = previous_row(df, by, order, [ts], "_before", points)
+    seen = previous_row(df, by, order, [ts], "_before", ranges)
     keep = F.col("_before").isNull() | ~F.col(ts).eqNullSafe(F.col("_before").getField(ts))
     return seen.filter(keep).drop("_before")
 
@@ -94,8 +88,7 @@ def with_delta(
     df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, ranges: int | None = None
 ) -> DataFrame:
     """Add the change from the previous reading of the same key, null on the first."""
-    points = split_points(df, order, ranges, by)
-    seen = previous_row(df, by, order, [value], "_before", points)
+    seen = previous_row(df, by, order, [value], "_before", ranges)
     change = F.col(value) - F.col("_before").getField(value)
     return seen.withColumn("delta", change).drop("_before")
 
@@ -148,9 +141,8 @@ def capped_cumsum(
     Equal to capping after every step because increments are not negative; a negative one
     raises. A missing increment adds nothing.
     """
-    points = split_points(df, order, ranges, by)
     summed = running_sums(
-        df.withColumn("_step", _checked(increment)), by, order, {"_sum": "_step"}, points=points
+        df.withColumn("_step", _checked(increment)), by, order, {"_sum": "_step"}, ranges=ranges
     )
     risk = F.least(F.lit(float(cap)), F.lit(float(start)) + F.col("_sum"))
     return summed.withColumn("risk", risk).drop("_step", "_sum")

@@ -1,13 +1,14 @@
-"""The split forms of ordered work against brute force, on skewed data."""
+"""Ordered work against brute force, on skewed data and any number of partitions."""
 
 import random
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from scorewatch.operators import evaluate, quantiles, series
-from scorewatch.operators.ordered import previous_row, running_sums, split_points
+from scorewatch.operators.ordered import dealt, previous_row, running_sums
 
 
 def skewed_rows(seed, n=600):
@@ -39,8 +40,7 @@ def ordered(rows):
 def test_running_sums(spark, ranges, seed):
     rows = skewed_rows(seed)
     df = frame(spark, rows)
-    points = None if ranges is None else split_points(df, ["ts", "id"], ranges, ["key"])
-    found = running_sums(df, ["key"], ["ts", "id"], {"seen": "v"}, {"all": "v"}, points)
+    found = running_sums(df, ["key"], ["ts", "id"], {"seen": "v"}, {"all": "v"}, ranges)
     expected = {}
     for group in ordered(rows).values():
         total = 0
@@ -55,8 +55,7 @@ def test_running_sums(spark, ranges, seed):
 def test_previous_row(spark, ranges, seed):
     rows = skewed_rows(seed)
     df = frame(spark, rows)
-    points = None if ranges is None else split_points(df, ["ts", "id"], ranges, ["key"])
-    found = previous_row(df, ["key"], ["ts", "id"], ["id", "ts"], "before", points)
+    found = previous_row(df, ["key"], ["ts", "id"], ["id", "ts"], "before", ranges)
     expected = {}
     for group in ordered(rows).values():
         for before, r in zip([None, *group], group):
@@ -64,10 +63,24 @@ def test_previous_row(spark, ranges, seed):
     assert {r.id: r.before and tuple(r.before) for r in found.collect()} == expected
 
 
-def test_split_cuts_a_hot_value_by_its_tiebreak(spark):
+def test_a_hot_value_is_cut_by_its_tiebreak(spark):
     df = spark.range(10_000).select(F.lit(1).alias("ts"), F.col("id"))
-    points = split_points(df, ["ts", "id"], 20)
-    assert len({r.id for r in points.rows}) >= 19
+    parts = dealt(df, [], ["ts", "id"], 20).groupBy("_ordered_part").count().collect()
+    assert len(parts) >= 19 and max(r["count"] for r in parts) < 1500
+
+
+@pytest.mark.parametrize("ranges", [None, 9])
+def test_a_key_of_most_rows_beside_keys_that_just_fit(spark, ranges):
+    """One key of 90 %; keys of about one partition's rows; keys of one row; all in one path."""
+    keys = ["hot"] * 9000 + ["fit"] * 500 + ["next"] * 499 + ["a"]
+    df = spark.createDataFrame([(k, i, 1) for i, k in enumerate(keys)], "key string, id int, one int").repartition(7)
+    found = running_sums(df, ["key"], ["id"], {"n": "one"}, {"all": "one"}, ranges)
+    starts = {"hot": 0, "fit": 9000, "next": 9500, "a": 9999}
+    assert all((r.n, r["all"]) == (r.id - starts[r.key] + 1, keys.count(r.key)) for r in found.collect())
+    before = previous_row(df, ["key"], ["id"], ["id"], "before", ranges)
+    assert all((r.before and r.before.id) == (r.id - 1 if r.id > starts[r.key] else None) for r in before.collect())
+    # No window over a whole key: each sorts within one partition of the dealt rows.
+    assert "hashpartitioning(_ordered_part" in found._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize(
@@ -88,20 +101,16 @@ def test_every_order_type(spark, dtype, values, ranges):
     df = spark.createDataFrame([(v, i, 1) for i, v in enumerate(values)], f"o {dtype}, id int, one int")
     df = df.repartition(3)
     order = ["o", "id"]
-    cut = running_sums(df, [], order, {"rank": "one"}, points=split_points(df, order, ranges))
-    plain = running_sums(df, [], order, {"rank": "one"})
+    cut = running_sums(df, [], order, {"rank": "one"}, ranges=ranges)
+    plain = df.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
     assert {r.id: r["rank"] for r in cut.collect()} == {r.id: r["rank"] for r in plain.collect()}
 
 
-def test_small_tables_are_not_split(spark):
-    assert split_points(spark.range(1000), ["id"]) is None
-
-
-def test_split_of_an_empty_table(spark):
+@pytest.mark.parametrize("ranges", [None, 4])
+def test_empty_tables(spark, ranges):
     df = spark.range(0)
-    points = split_points(df, ["id"], 4)
-    found = running_sums(df, [], ["id"], {"s": "id"}, points=points)
-    assert found.count() == 0
+    assert running_sums(df, [], ["id"], {"s": "id"}, ranges=ranges).count() == 0
+    assert previous_row(df, ["id"], ["id"], ["id"], ranges=ranges).count() == 0
 
 
 @pytest.mark.parametrize("ranges", [None, 5])

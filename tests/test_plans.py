@@ -65,12 +65,10 @@ def test_split_work_never_sorts_a_whole_key(spark, sf_dir):
     scored = scored_events(spark, sf_dir)
     plan = plan_of(series.with_delta(scored, ["event_type"], ["ts", "event_id"], "value", ranges=8))
     windows = re.findall(r"Window \[.*?\], \[([^\]]*)\], \[", plan)
-    # One inside (key, range), one over a summary row per (key, range). The only joins are with
-    # the hot keys, of which there are no more than ranges.
-    assert len(windows) == 2 and sum("_ordered_range" in w for w in windows) == 1
-    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
-    # The rows once, by (key, range); the summaries by (key, range) and by key.
-    assert plan.count("Exchange hashpartitioning") == 3
+    # One inside (partition, key), one over the two rows at the ends of every partition. The only
+    # join is with the latter.
+    assert len(windows) == 2 and sum("_ordered_part" in w for w in windows) == 1
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 1
 
 
 def test_totals_use_partial_aggregates(spark, sf_dir):
