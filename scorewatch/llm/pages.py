@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scorewatch.llm.graph import stage
-from scorewatch.operators.ordered import previous_row, running_sums, split_points
+from scorewatch.operators.ordered import previous_row, running_sums
 
 _ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
 _TAG = re.compile(
@@ -264,11 +264,9 @@ def _neighbours(parsed: DataFrame, open_: DataFrame) -> DataFrame:
     hosts = open_.select("host").distinct()
     by, order = ["host"], ["path", "id", "row"]
     rows = parsed.where(F.size("lines") > 0).select("host", "path", "id", "row", "digest").join(hosts, "host", "left_semi")
-    rows = stage(rows, "order")
-    points = split_points(rows, order, by=by)
-    seen = previous_row(rows, by, order, ["digest"], "ahead", points)
+    seen = previous_row(rows, by, order, ["digest"], "ahead")
     fresh = F.coalesce(F.col("ahead.digest") != F.col("digest"), F.lit(True)).cast("long")
-    runs = running_sums(seen.select(*by, *order, fresh.alias("fresh")), by, order, {"run": "fresh"}, points=points)
+    runs = running_sums(seen.select(*by, *order, fresh.alias("fresh")), by, order, {"run": "fresh"})
     runs = stage(runs.select(*by, *order, "run"), "runs")
     at = F.struct(*order)
     ends = runs.groupBy("host", "run").agg(F.min_by("row", at).alias("first"), F.max_by("row", at).alias("last"))

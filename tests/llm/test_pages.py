@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import html
 import re
+from functools import partial
 
 import corpus_pipeline
 import numpy as np
@@ -11,7 +12,7 @@ import pytest
 
 from scorewatch.llm import pages, warc
 from scorewatch.llm.queries import QUERIES
-from scorewatch.operators.ordered import split_points
+from scorewatch.operators.ordered import previous_row, running_sums
 from test_documents import components_by_force
 
 PAGE = "page_id bigint, url string, html string, host string, digest string"
@@ -108,7 +109,8 @@ def test_neighbours_lie_beyond_copies_and_partitions(spark, monkeypatch, parts):
     rows = [(k, f"http://h/a/{k}", page.format("copy" if 2 <= k <= 6 else f"story {k}")) for k in range(1, 9)]
     rows += [(9, "http://h/a/9", "<article>own</article>"), (10, "http://i/1", page.format("alone"))]
     if parts > 1:
-        monkeypatch.setattr(pages, "split_points", lambda df, order, by: split_points(df, order, 4, by))
+        monkeypatch.setattr(pages, "previous_row", partial(previous_row, ranges=4))
+        monkeypatch.setattr(pages, "running_sums", partial(running_sums, ranges=4))
     found = pages.main_text(site(spark, rows).repartition(parts)).collect()
     want = {k: "copy" if 2 <= k <= 6 else f"story {k}" for k in range(1, 9)} | {9: "own", 10: "Site head alone Site end"}
     assert {r.page_id: r.text for r in found} == want and len(found) == 10
