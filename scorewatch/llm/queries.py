@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewatch.llm import bpe, decontaminate, language, licenses, merkle, minhash, pages, quality, repetition, substrings, warc
+from scorewatch.llm import bpe, decontaminate, language, licenses, merkle, minhash, pages, prefixes, quality, repetition, substrings, warc
 from scorewatch.llm.graph import stage
 from scorewatch.plans.registry import Query, table
 
@@ -99,6 +99,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"), remainder(5) == 0)
 
 
+@query
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.edits(table(spark, sf_dir, "documents"))
+
+
 ORACLES["op3_warc"] = """
 WITH p AS (
   SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
