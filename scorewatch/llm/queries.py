@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewatch.llm import bpe, decontaminate, language, licenses, merkle, minhash, pages, prefixes, quality, repetition, substrings, warc
+from scorewatch.llm import (
+    bpe,
+    decontaminate,
+    language,
+    licenses,
+    merkle,
+    minhash,
+    negatives,
+    pages,
+    prefixes,
+    quality,
+    repetition,
+    substrings,
+    warc,
+)
 from scorewatch.llm.graph import stage
 from scorewatch.plans.registry import Query, table
 
@@ -104,6 +118,12 @@ def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixes.edits(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), label, F.col("id") % 100 == 0)
+
+
 ORACLES["op3_warc"] = """
 WITH p AS (
   SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
@@ -112,3 +132,23 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN f.first IS NULL OR f.first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN f.first <> page_id THEN f.first END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)"""
+
+ORACLES["op13_hard_negatives"] = """
+WITH raw AS (
+  SELECT vec_id AS id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+         list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.id AS anchor_id, b.id AS id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM raw a JOIN raw b ON a.id % 100 = 0 AND a.id <> b.id),
+positive AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 5"""
