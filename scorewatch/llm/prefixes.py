@@ -31,15 +31,17 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scorewatch.llm.words import mix
-from scorewatch.session import stage
+from scorewatch.operators.ordered import dealt
 
 PRIME = 2**31 - 1
 SPAN, SKETCH = 24, 64
+#: Rows that go past each other in one task, on average.
+PART_ROWS = 4096
 _M, _SHIFT = np.uint64(PRIME), np.uint64(31)
 _BASES = (1_204_862_863, 1_771_875_989)
 #: Lengths of the prefixes and suffixes in a fingerprint.
@@ -239,67 +241,61 @@ def _edit(own: _Text, following: _Text) -> tuple:
 
 
 def _along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One partition in order: every row but the last beside the next one. The first text and the
-    last row come out as they are, for the partitions before and after."""
-    part, open_id, before = None, None, None
+    """Every row beside the one before it. A part begins with a row of another part, marked as such."""
+    before = None
     for batch in batches:
-        parts, ids, texts = batch.columns
-        if not batch.num_rows:
-            continue
-        rows: list[tuple] = []
-        keys = ids if before is None else pa.concat_arrays([open_id, ids])
-        for i, text in enumerate(texts):
+        marks, ids, texts = batch.columns
+        kept, rows = [], []
+        for i, (mark, text) in enumerate(zip(marks.to_pylist(), texts, strict=True)):
             own = _Text(text.as_py())
-            if before is None:
-                part, first = parts[0].as_py(), own.text
-                yield _out(ids.slice(0, 1), part, "first", first, [(None,) * len(_TYPES)])
-            else:
-                rows.append(_edit(before, own))
+            if not mark:
+                kept.append(i)
+                rows.append(_edit(own, before))
             before = own
-        if rows:
-            yield _out(keys.slice(0, len(rows)), part, None, None, rows)
-        open_id = ids.slice(batch.num_rows - 1, 1)
-    if before is not None:
-        yield _out(open_id, part, "last", before.text, [(None,) * len(_TYPES)])
+        made = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * len(_TYPES), _TYPES, strict=True)]
+        yield pa.RecordBatch.from_arrays([ids.take(pa.array(kept, pa.int64())), *made], ["id", *(f.name for f in _RESULT)])
 
 
-def _out(ids: pa.Array, part: int, end: str | None, text: str | None, rows: list[tuple]) -> pa.RecordBatch:
-    n = len(rows)
-    made = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)]
-    marks = [pa.array([part] * n, pa.int32()), pa.array([end] * n, pa.string()), pa.array([text] * n, pa.string())]
-    return pa.RecordBatch.from_arrays([ids, *marks, *made], ["id", "part", "end", "text", *(f.name for f in _RESULT)])
+def _place(row: Column, firsts: list[Column]) -> Column:
+    """How many of the ascending ``firsts`` are at or below a row, less one, by binary search."""
+    table = F.array(*firsts)
+    widths = F.array(*[F.lit(1 << i) for i in reversed(range(len(firsts).bit_length()))])
 
+    def step(found: Column, width: Column) -> Column:
+        return F.when(F.get(table, found + width - 1) <= row, found + width).otherwise(found)
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            rows = [_edit(_Text(a.as_py()), _Text(b.as_py())) for a, b in zip(*batch.columns[1:], strict=True)]
-            made = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["id", *(f.name for f in _RESULT)])
+    return F.aggregate(widths, F.lit(0), step) - 1
 
 
-def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_rows: int = PART_ROWS) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likeness.
 
     In the edited text the last half (rounded down) gives way to as much of the start of the next
-    text, by descending id; the first follows the last. Texts are shuffled once, by range of the
-    id, and go past their neighbours within a partition. Two rows of a partition, its first and its
-    last, are written with their texts and paired across partitions by number.
+    text, by descending id; the first follows the last. Ids alone are ordered first and cut into
+    parts of about ``part_rows`` rows; the driver sees the first and the last id of each part. Texts
+    are then shuffled once, to their part, where each part also gets the last text of the part
+    before it, and go past their neighbours in order of the id.
     """
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    rows = docs.select(docs[id_col].alias("id"), text.alias("text"))
-    order = [F.col("id").desc_nulls_last(), F.xxhash64("text")]
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    id_field = T.StructField("id", rows.schema["id"].dataType)
-    marks = [T.StructField("part", T.IntegerType()), T.StructField("end", T.StringType()), T.StructField("text", T.StringType())]
-    along = dealt.select(F.spark_partition_id().alias("part"), "id", "text")
-    made = stage(along.mapInArrow(_along, T.StructType([id_field, *marks, *_RESULT])), "edits")
-
-    first = made.where("end = 'first'").select(F.col("part").alias("to"), F.col("text").alias("following"))
-    # One number per partition.
-    parts = first.select(F.col("to").alias("part"))
-    after = F.coalesce(F.lead("part").over(Window.orderBy("part")), F.min("part").over(Window.partitionBy(F.lit(0))))
-    last = made.where("end = 'last'").join(parts.select("part", after.alias("to")), "part").join(first, "to")
-    across = last.select("id", "text", "following").mapInArrow(_pairs, T.StructType([id_field, *_RESULT]))
-    names = [f.name for f in _RESULT]
-    return made.where("end IS NULL").select("id", *names).union(across).withColumnRenamed("id", id_col)
+    rows = docs.select(docs[id_col].alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"))
+    order = ["id", "tie"]
+    at = F.struct(*order)
+    parts = -(-max(1, docs.count()) // part_rows)
+    cut = dealt(rows.select(*order), [], order, parts)
+    ends = [tuple(r) for r in cut.groupBy("_ordered_part").agg(F.min(at), F.max(at)).sort("_ordered_part").collect()]
+    fields = [T.StructField("id", rows.schema["id"].dataType), *_RESULT]
+    if not ends:
+        return docs.sparkSession.createDataFrame([], T.StructType(fields)).withColumnRenamed("id", id_col)
+
+    id_type = rows.schema["id"].dataType
+    firsts = [F.struct(F.lit(first.id).cast(id_type).alias("id"), F.lit(first.tie).cast("bigint").alias("tie")) for _, first, _ in ends]
+    own = rows.select(*order, "text", _place(at, firsts).alias("part"), F.lit(False).alias("mark"))
+    # The part after the last one is the first: ascending, every row takes from the one before it.
+    lasts = [(last.id, last.tie, (k + 1) % len(ends)) for k, (_, _, last) in enumerate(ends)]
+    schema = T.StructType([T.StructField("end", id_type), T.StructField("end_tie", T.LongType()), T.StructField("part", T.IntegerType())])
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(lasts, schema))  # one row per part
+    before = rows.join(wanted, rows["id"].eqNullSafe(wanted["end"]) & (rows["tie"] == wanted["end_tie"]))
+    before = before.select(*order, "text", "part", F.lit(True).alias("mark")).dropDuplicates(["part"])
+    sent = own.union(before).repartitionById(len(ends), "part")
+    along = sent.sortWithinPartitions("part", F.desc("mark"), *order).select("mark", "id", "text")
+    return along.mapInArrow(_along, T.StructType(fields)).withColumnRenamed("id", id_col)

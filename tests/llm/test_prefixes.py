@@ -85,19 +85,15 @@ def test_edits_of_the_table(spark, sf_dir):
     assert {r[3]: r[0] for r in found}.keys() == {str(of(t or "")) for _, t in rows}
 
 
-@pytest.mark.parametrize("parts", [1, 5])
-def test_edits_across_partitions_and_odd_rows(spark, docs, parts):
+@pytest.mark.parametrize("rows_of_a_part", [1, 3, 100])
+def test_edits_across_partitions_and_odd_rows(spark, docs, rows_of_a_part):
     rows = [r for i, r in enumerate(ODD) if i != 6]
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", str(parts == 1).lower())
-    try:
-        found = prefixes.edits(docs(rows).repartition(parts)).collect()
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    found = prefixes.edits(docs(rows).repartition(3), part_rows=rows_of_a_part).collect()
     assert sorted(map(tuple, found), key=str) == by_force(rows)
 
 
 def test_repeated_rows_one_row_and_none(spark, docs):
-    found = prefixes.edits(docs([(1, "ab"), (1, "ab"), (1, "cd")])).collect()
+    found = prefixes.edits(docs([(1, "ab"), (1, "ab"), (1, "cd")]), part_rows=1).collect()
     assert len(found) == 3 and {r.doc_id for r in found} == {1}
     own = prefixes.edits(docs([(4, "abcd")])).first()
     assert own.edited_sha256 == hashlib.sha256(b"abab").hexdigest() and own.near_next == 1
