@@ -11,13 +11,14 @@ from scorewatch.session import scratch_folder
 from scorewatch.sources.streams import read_scored, read_stream
 from scorewatch.spec import FeatureSpec
 from scorewatch.streaming import live
-from scorewatch.streaming.monitor import wait_for
+from scorewatch.streaming.monitor import ProgressLog, totals_of, wait_for
 from scorewatch.streaming.score import score_stream, scored_message
 from scorewatch.streaming.sinks import (
     fan_out,
     history_sink,
     message_sink,
     quarantine_sink,
+    read_appended,
     write_stream,
 )
 
@@ -65,7 +66,7 @@ def stream_parsed_messages(spark, sf_dir):
     """Feature values of the history that the scoring stream wrote beside two other sinks: every
     good message, once."""
     root, _ = _fan_out(spark, sf_dir, "history", "messages", "quarantine")
-    return spark.read.parquet(f"{root}/history").select("event_id", "value", "k")
+    return read_appended(spark, f"{root}/history").select("event_id", "value", "k")
 
 
 @query(
@@ -75,7 +76,7 @@ def stream_parsed_messages(spark, sf_dir):
 def stream_equals_batch(spark, sf_dir):
     """Scores of the stream beside the scores of the same rows as a batch."""
     root, fitted = _fan_out(spark, sf_dir, "history")
-    by_stream = spark.read.parquet(f"{root}/history").select(
+    by_stream = read_appended(spark, f"{root}/history").select(
         "event_id", "predicted_label", F.col("malignant_probability").alias("p_stream")
     )
     batch = scored_events(spark, sf_dir).select("event_id", "value", "k").filter("event_id % 9 <> 0")
@@ -96,14 +97,14 @@ def stream_equals_batch(spark, sf_dir):
 )
 def stream_quarantine(spark, sf_dir):
     root, _ = _fan_out(spark, sf_dir, "quarantine")
-    return spark.read.parquet(f"{root}/quarantine").select("event_id", "raw_value")
+    return read_appended(spark, f"{root}/quarantine").select("event_id", "raw_value")
 
 
 @query("stream_scored_messages")
 def stream_scored_messages(spark, sf_dir):
     """Messages of the results topic, parsed again."""
     root, _ = _fan_out(spark, sf_dir, "messages")
-    sent = spark.read.parquet(f"{root}/messages").select("event_id", "value")
+    sent = read_appended(spark, f"{root}/messages").select("event_id", "value")
     return read_scored(sent, STREAM_SPEC)
 
 
@@ -133,21 +134,102 @@ def live_counts(spark, sf_dir):
     return live.read_newest(spark, f"{root}/out")
 
 
-# The last hour never closes: its end lies beyond the watermark when the stream ends.
+_HOUR_SQL = "date_trunc('hour', ts)"
+
+
 @query(
     "live_window",
-    f"""SELECT date_trunc('hour', ts) AS start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS "end",
-          predicted_label, count(*) AS n FROM {SCORED_SQL}
-        WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR
-              <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE GROUP BY ALL""",
+    f"""SELECT {_HOUR_SQL} AS start, {_HOUR_SQL} + INTERVAL 1 HOUR AS "end", predicted_label, count(*) AS n,
+          {_HOUR_SQL} + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE AS closed
+        FROM {SCORED_SQL} GROUP BY ALL""",
 )
 def live_window(spark, sf_dir):
+    """Every period, those still open when the stream ends too."""
     root = scratch_folder(spark, "live-window")
-    periods = live.live_window(_scored_stream(spark, sf_dir), "ts", "1 hour", "10 minutes")
-    sink = write_stream(periods, "parquet", f"{root}/checkpoint", None, path=f"{root}/out")
-    wait_for([sink])
-    closed = spark.read.parquet(f"{root}/out")
-    return closed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
+    sinks = {"periods": live.window_sink(f"{root}/out", "ts", "1 hour", "10 minutes")}
+    wait_for([fan_out(_scored_stream(spark, sf_dir), sinks, f"{root}/checkpoint", trigger=None)])
+    return live.read_windows(spark, f"{root}/out")
+
+
+#: Files that the events arrive in: by time, but for every 50th, which comes with the last one.
+ARRIVALS = 6
+
+
+def _arriving(spark, sf_dir, root):
+    """The events as a stream of files, one a batch; some rows arrive long after their time."""
+    events = table(spark, sf_dir, "events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    share = (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(first).cast("timestamp"))) / (
+        max(1.0, (last - first).total_seconds()) * 1e6
+    )
+    at = F.least(F.lit(ARRIVALS - 1), F.floor(share * ARRIVALS))
+    at = F.when(F.col("event_id") % 50 == 0, ARRIVALS - 1).otherwise(at)
+    for k in range(ARRIVALS):
+        events.where(at == k).coalesce(1).write.parquet(f"{root}/in/part={k}")
+    stream = read_stream(spark, "files", f"{root}/in/part=*", "parquet", events.schema, max_files=1)
+    return stream.withColumn("predicted_label", F.when(F.col("value") > 30, 1).otherwise(0))
+
+
+def _arrived_windows(spark, sf_dir):
+    root = scratch_folder(spark, "live-arrivals")
+    sinks = {"periods": live.window_sink(f"{root}/out", "ts", "1 hour", "10 minutes")}
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        query = fan_out(_arriving(spark, sf_dir, root), sinks, f"{root}/checkpoint", trigger=None)
+        wait_for([query])
+        totals = totals_of(log, query)
+    finally:
+        spark.streams.removeListener(log)
+    return f"{root}/out", totals
+
+
+# What arrives with the last file is late when its hour was over, and ten minutes more, before
+# the newest time of the files ahead.
+_SPAN_SQL = f"""(
+  SELECT *, CASE WHEN event_id % 50 = 0 THEN {ARRIVALS - 1} ELSE least({ARRIVALS - 1}, CAST(floor(
+            (epoch_us(ts) - min(epoch_us(ts)) OVER ()) / ((max(epoch_us(ts)) OVER () - min(epoch_us(ts)) OVER ()) / 1.0) * {ARRIVALS}
+          ) AS BIGINT)) END AS arrival
+  FROM {SCORED_SQL})"""
+_LATE_SQL = f"""(
+  SELECT *, {_HOUR_SQL} + INTERVAL 1 HOUR
+            <= (SELECT max(ts) FROM {_SPAN_SQL} WHERE arrival < {ARRIVALS - 1}) - INTERVAL 10 MINUTE
+            AND arrival = {ARRIVALS - 1} AS late
+  FROM {_SPAN_SQL})"""
+
+
+@query(
+    "live_window_late",
+    f"SELECT event_id, ts, predicted_label FROM {_LATE_SQL} WHERE late",
+)
+def live_window_late(spark, sf_dir):
+    """Rows that came after their period was closed: none is lost."""
+    path, _ = _arrived_windows(spark, sf_dir)
+    return live.read_late(spark, path).select("event_id", "ts", "predicted_label")
+
+
+@query(
+    "live_window_batches",
+    f"""SELECT {_HOUR_SQL} AS start, {_HOUR_SQL} + INTERVAL 1 HOUR AS "end", predicted_label, count(*) AS n,
+          {_HOUR_SQL} + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE AS closed
+        FROM {_LATE_SQL} WHERE NOT late GROUP BY ALL""",
+)
+def live_window_batches(spark, sf_dir):
+    """Periods added up over several batches, without the late rows."""
+    path, _ = _arrived_windows(spark, sf_dir)
+    return live.read_windows(spark, path)
+
+
+@query(
+    "stream_progress",
+    f"""SELECT count(*) AS rows, count(DISTINCT arrival) AS batches,
+          CAST(max(n) AS BIGINT) AS largest
+        FROM (SELECT arrival, count(*) OVER (PARTITION BY arrival) AS n FROM {_SPAN_SQL})""",
+)
+def stream_progress(spark, sf_dir):
+    """Running totals of a stream that takes in one file a batch, from its listener."""
+    _, totals = _arrived_windows(spark, sf_dir)
+    return spark.createDataFrame([totals], "rows bigint, batches bigint, largest bigint")
 
 
 @query(

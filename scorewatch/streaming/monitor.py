@@ -11,13 +11,17 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps the last progress events of all queries, and why a query ended.
+    """Keeps the last progress events of all queries, running totals of each, and why it ended.
+
+    Totals (rows, batches with rows, largest batch) are of all events since the listener was
+    added; only the events themselves are bounded. A batch that is run again counts again.
 
     Register with ``spark.streams.addListener``.
     """
 
     def __init__(self, size: int = 1000) -> None:
         self.events: deque[dict[str, Any]] = deque(maxlen=size)
+        self.totals: dict[str, dict[str, int]] = {}
         self.failures: dict[str, str] = {}
 
     def onQueryStarted(self, event) -> None:
@@ -25,6 +29,10 @@ class ProgressLog(StreamingQueryListener):
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
+        total = self.totals.setdefault(str(p.id), {"rows": 0, "batches": 0, "largest": 0})
+        total["rows"] += p.numInputRows
+        total["batches"] += p.numInputRows > 0
+        total["largest"] = max(total["largest"], p.numInputRows)
         self.events.append(
             {
                 "id": str(p.id),
@@ -43,6 +51,19 @@ class ProgressLog(StreamingQueryListener):
             self.failures[str(event.id)] = event.exception
 
 
+def totals_of(log: ProgressLog, query: StreamingQuery, timeout: float = 60) -> dict[str, int]:
+    """Running totals of a query that has ended, once its last event has come: listeners are told
+    of progress a moment after a batch is done."""
+    last = query.lastProgress
+    rows = sum(p.numInputRows for p in query.recentProgress)
+    deadline = time.monotonic() + timeout
+    while last is not None and log.totals.get(str(query.id), {}).get("rows", 0) < rows:
+        if time.monotonic() > deadline:
+            raise TimeoutError(f"no progress event of query {query.name or query.id} in {timeout} seconds")
+        time.sleep(0.05)
+    return log.totals.get(str(query.id), {"rows": 0, "batches": 0, "largest": 0})
+
+
 def status(queries: Sequence[StreamingQuery]) -> list[dict[str, Any]]:
     return [
         {"name": q.name, "id": str(q.id), "active": q.isActive, **q.status} for q in queries

@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,6 +15,7 @@ from scorewatch.operators.clean import with_processed_at
 from scorewatch.sinks.tables import jdbc_write_options, write_jdbc
 from scorewatch.spec import FeatureSpec
 from scorewatch.streaming.score import SCORES, scored_message
+from scorewatch.streaming.tables import BatchTable
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -28,18 +29,36 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
 
 
+#: Folders merged this often hold FAN_IN ** 3 batches and are not rewritten any more.
+HISTORY_LEVELS = 3
+
+
+def append_table(path: str, partition_by: Sequence[str] = (), files: int | None = None) -> BatchTable:
+    """A table that every batch adds rows to; small folders are merged as they pile up."""
+    return BatchTable(path, partition_by=tuple(partition_by), levels=HISTORY_LEVELS, files=files)
+
+
+def _append(table: BatchTable, rows: DataFrame, batch_id: int) -> None:
+    table.commit(rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")), batch_id)
+
+
+def read_appended(spark: SparkSession, path: str) -> DataFrame:
+    """What :func:`history_sink`, :func:`message_sink` or :func:`quarantine_sink` has committed."""
+    return append_table(path).read(spark)
+
+
 def history_sink(
     path: str, spec: FeatureSpec, keep: tuple[str, ...] = (), files: int | None = None
 ) -> Sink:
-    """Scored rows with their processing time, by batch and day.
+    """Scored rows with their processing time and batch, by day.
 
     ``files`` limits the files of a batch where short triggers would leave many small ones.
     """
+    table = append_table(path, ["date"], files)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         stamped = with_processed_at(_valid(batch)).withColumn("date", F.to_date("timestamp"))
-        rows = stamped.select("timestamp", *keep, *SCORES, *spec.features, "date")
-        write_batch(rows if files is None else rows.coalesce(files), path, batch_id, ["date"])
+        _append(table, stamped.select("timestamp", *keep, *SCORES, *spec.features, "date"), batch_id)
 
     return write
 
@@ -48,7 +67,7 @@ def message_sink(path: str, spec: FeatureSpec, keep: tuple[str, ...] = ()) -> Si
     """Scored messages as JSON text in files: what a results topic would hold."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(scored_message(_valid(batch), spec, keep), path, batch_id)
+        _append(append_table(path), scored_message(_valid(batch), spec, keep), batch_id)
 
     return write
 
@@ -99,7 +118,7 @@ def quarantine_sink(path: str, keep: tuple[str, ...] = ()) -> Sink:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         bad = with_processed_at(batch.filter(~F.col(VALID)))
-        write_batch(bad.select("timestamp", *keep, "raw_value"), path, batch_id)
+        _append(append_table(path), bad.select("timestamp", *keep, "raw_value"), batch_id)
 
     return write
 

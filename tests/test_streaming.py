@@ -12,10 +12,12 @@ from scorewatch.spec import FeatureSpec
 from scorewatch.streaming import live, monitor
 from scorewatch.streaming.score import score_stream, scored_message
 from scorewatch.streaming.sinks import (
+    append_table,
     fan_out,
     history_sink,
     message_sink,
     quarantine_sink,
+    read_appended,
     write_batch,
     write_stream,
 )
@@ -66,7 +68,7 @@ def test_stream_equals_batch_and_restart_adds_only_new_rows(spark, tmp_path, fit
     run(spark, tmp_path, fitted)
     run(spark, tmp_path, fitted)
 
-    history = spark.read.parquet(str(tmp_path / "history"))
+    history = read_appended(spark, str(tmp_path / "history"))
     assert history.count() == 30
     raw = spark.read.text(str(tmp_path / "in"))
     batch = score_stream(raw, SPEC, fitted).filter("is_valid")
@@ -74,9 +76,9 @@ def test_stream_equals_batch_and_restart_adds_only_new_rows(spark, tmp_path, fit
     assert sorted(map(tuple, history.select(columns).collect())) == sorted(
         map(tuple, batch.select(columns).collect())
     )
-    bad = {r.raw_value for r in spark.read.parquet(str(tmp_path / "quarantine")).collect()}
+    bad = {r.raw_value for r in read_appended(spark, str(tmp_path / "quarantine")).collect()}
     assert bad == {"junk", '{"a": NaN}', '{"a": "x"}'}
-    sent = read_scored(spark.read.parquet(str(tmp_path / "messages")).select("value"), SPEC)
+    sent = read_scored(read_appended(spark, str(tmp_path / "messages")).select("value"), SPEC)
     assert sent.count() == 30
     assert sent.filter(F.col("benign_probability") + F.col("malignant_probability") < 0.999).count() == 0
 
@@ -89,9 +91,9 @@ def test_a_failing_sink_stops_the_query_and_a_rerun_does_not_double_rows(spark,
 
     with pytest.raises(Exception, match="database is down"):
         run(spark, tmp_path, fitted, {"broken": broken})
-    assert spark.read.parquet(str(tmp_path / "history")).count() == 10
+    assert read_appended(spark, str(tmp_path / "history")).count() == 10
     run(spark, tmp_path, fitted)
-    assert spark.read.parquet(str(tmp_path / "history")).count() == 10
+    assert read_appended(spark, str(tmp_path / "history")).count() == 10
 
 
 def test_zero_fill_policy_scores_bad_messages_as_zeros(spark, fitted):
@@ -110,14 +112,14 @@ def test_intake_limit_makes_batches(spark, tmp_path, fitted):
     for i in range(3):
         put(tmp_path / "in", f"{i}.txt", messages(i, 1))
     run(spark, tmp_path, fitted, max_files=1)
-    history = spark.read.parquet(str(tmp_path / "history"))
+    history = read_appended(spark, str(tmp_path / "history"))
     assert history.select("batch_id").distinct().count() == 3
 
 
 def test_empty_batch(spark, tmp_path, fitted):
     put(tmp_path / "in", "1.txt", ["junk"])
     run(spark, tmp_path, fitted)
-    assert spark.read.schema("a double").parquet(str(tmp_path / "history")).count() == 0
+    assert read_appended(spark, str(tmp_path / "history")).count() == 0
 
 
 def test_built_in_sink_and_progress(spark, tmp_path, fitted):
@@ -137,6 +139,7 @@ def test_built_in_sink_and_progress(spark, tmp_path, fitted):
                 break
             __import__("time").sleep(0.1)
         assert sum(e["rows"] for e in log.events) == 5 and not log.failures
+        assert monitor.totals_of(log, q) == {"rows": 5, "batches": 1, "largest": 5}
     finally:
         spark.streams.removeListener(log)
 
@@ -211,6 +214,92 @@ def test_live_last_n_over_batches(spark, tmp_path):
     assert {(r.user, r.id) for r in found.collect()} == expected
 
 
+WINDOWED = "user string, id int, ts timestamp_ntz, predicted_label int"
+
+
+def at(seconds):
+    return T0 + timedelta(seconds=seconds)
+
+
+def windows_of(spark, out):
+    return {(r.start, r.predicted_label): (r.n, r.closed) for r in live.read_windows(spark, out).collect()}
+
+
+def test_window_sink_keeps_open_periods_and_late_rows(spark, tmp_path):
+    batches = [
+        [("u", 1, at(1), 0), ("u", 2, at(4), 0)],
+        [("u", 3, at(20), 1), ("u", 7, None, 1)],
+        [("u", 4, at(21), 1)],
+        [("u", 5, at(2), 0), ("u", 6, at(40), 1), ("u", 8, at(12), None)],
+    ]
+    stream, out = event_files(spark, tmp_path / "in", batches), str(tmp_path / "out")
+    sink = {"w": live.window_sink(out, "ts", "5 seconds", "10 seconds")}
+    monitor.wait_for([fan_out(stream, sink, str(tmp_path / "cp"), None)], WAIT)
+    assert windows_of(spark, out) == {
+        (at(0), 0): (2, True), (at(20), 1): (2, True), (at(40), 1): (1, False), (at(10), None): (1, True),
+    }
+    # Second 2 comes after its period was closed by second 20; one row has no time.
+    assert {r.id for r in live.read_late(spark, out).collect()} == {5, 7}
+
+
+def test_a_batch_run_again_decides_as_it_did(spark, tmp_path):
+    out = str(tmp_path / "out")
+    write = live.window_sink(out, "ts", "5 seconds", "10 seconds")
+    frames = [spark.createDataFrame(rows, WINDOWED) for rows in ([("u", 1, at(1), 0)], [("u", 2, at(30), 0)], [("u", 3, at(2), 0)])]
+    for batch_id in (0, 0, 1, 1, 2, 2):
+        write(frames[batch_id], batch_id)
+    assert windows_of(spark, out) == {(at(0), 0): (1, True), (at(30), 0): (1, False)}
+    assert [r.id for r in live.read_late(spark, out).collect()] == [3]
+
+
+def folders(path):
+    return sorted(str(p.parent.relative_to(path)) for p in path.rglob("part-*.parquet"))
+
+
+def test_fifty_batches_leave_few_folders(spark, tmp_path):
+    """Newest rows, counts, history and complete results: none grows by a folder a batch."""
+    order, by = ["ts", "id"], ["user"]
+    newest = live.last_n_sink(str(tmp_path / "newest"), 3, order, by)
+    periods = live.window_sink(str(tmp_path / "periods"), "ts", "5 seconds", "10 seconds")
+    totals = live.table_sink(str(tmp_path / "totals"))
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        for b in range(50):
+            first, second = (f"timestamp_ntz'{at(t)}'" for t in (b, b // 2))
+            rows = spark.sql(
+                f"SELECT * FROM VALUES ('hot', {b}, {first}, 0), ('hot', {100 + b}, {second}, 1) t(user, id, ts, predicted_label)"
+            )
+            newest(rows, b)
+            if b < 20:
+                periods(rows, b)
+                totals(rows, b)
+    finally:
+        spark.conf.unset("spark.sql.shuffle.partitions")
+    # Seven folders at most of each level, and what the commit before the last one lists.
+    for name in ("newest", "periods/counts", "periods/late"):
+        assert len(set(folders(tmp_path / name))) <= 7 + 6 + 1, folders(tmp_path / name)
+    assert len(set(folders(tmp_path / "totals"))) == 2
+    assert len(list((tmp_path / "newest" / "commits").glob("[0-9]*"))) == 2
+    assert {r.id for r in live.read_last_n(spark, str(tmp_path / "newest"), 3, order, by).collect()} == {49, 48, 47}
+    assert {r.id for r in live.read_newest(spark, str(tmp_path / "totals")).collect()} == {19, 119}
+    counted = sum(n for n, _ in windows_of(spark, str(tmp_path / "periods")).values())
+    assert counted + live.read_late(spark, str(tmp_path / "periods")).count() == 40
+
+
+def test_history_is_merged_by_day_and_replayed(spark, tmp_path):
+    table = append_table(str(tmp_path), ["date"])
+    days = [f"2024-01-0{1 + b % 2}" for b in range(10)]
+    for b, day in enumerate(days):
+        for _ in range(2 if b in (7, 8, 9) else 1):
+            table.commit(spark.createDataFrame([(b, day)], "id int, date string"), b)
+    assert sorted((r.id, r.date) for r in table.read(spark).collect()) == list(enumerate(days))
+    # Eight batches have become one folder with a folder a day, two are as they came.
+    assert {f for f in folders(tmp_path) if f.startswith("table_level=1")} == {f"table_level=1/table_batch=7/date=2024-01-0{d}" for d in (1, 2)}
+    assert len(table.last_commit(spark).folders) == 3
+    with pytest.raises(FileNotFoundError):
+        read_appended(spark, str(tmp_path / "nothing"))
+
+
 def test_batch_folder_is_replaced_on_replay(spark, tmp_path):
     for n in (3, 5):
         write_batch(spark.range(n), str(tmp_path), 7)
