@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from scorewatch.functions.columns import nan_to_null
 
-_MOMENTS = "a int, b int, n double, sa double, sb double, saa double, sbb double, sab double"
+#: Rows, means, centred squares and centred products of a pair of columns, where both have values.
+_MOMENTS = "a int, b int, n double, ma double, mb double, maa double, mbb double, mab double"
+_FIELDS = ("n", "ma", "mb", "maa", "mbb", "mab")
 
 
 def pair_correlation(x: Column | str, y: Column | str) -> Column:
@@ -22,51 +24,87 @@ def pair_correlation(x: Column | str, y: Column | str) -> Column:
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
 
 
-def _moment_sums(shift: np.ndarray):
-    """Per-task sums of products over all column pairs, as matrix products."""
-    k = len(shift)
+def _batch_moments(x: np.ndarray) -> dict[str, np.ndarray]:
+    """Moments of all column pairs of one batch, as matrix products.
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, s, q, p = (np.zeros((k, k)) for _ in range(4))
+    Values are taken about the batch's own mean of their column, so that no sum of squares is much
+    larger than what is left of it.
+    """
+    missing = np.isnan(x)
+    there = (~missing).astype("float64")
+    counts = there.sum(axis=0)
+    centre = np.where(missing, 0.0, x).sum(axis=0) / np.maximum(counts, 1)
+    x = np.where(missing, 0.0, x - centre)
+    n = there.T @ there
+    rows = np.maximum(n, 1)
+    s, q, p = x.T @ there, (x * x).T @ there, x.T @ x
+    return {
+        "n": n,
+        "ma": centre[:, None] + s / rows,
+        "mb": centre[None, :] + s.T / rows,
+        "maa": q - s * s / rows,
+        "mbb": (q - s * s / rows).T,
+        "mab": p - s * s.T / rows,
+    }
+
+
+def _merged(x: dict, y: dict, when_empty=np.maximum) -> dict:
+    """Moments of two sets of rows together, from their counts and the distance of their means."""
+    n = x["n"] + y["n"]
+    rows = when_empty(n, 1)
+    share, weight = y["n"] / rows, x["n"] * y["n"] / rows
+    da, db = y["ma"] - x["ma"], y["mb"] - x["mb"]
+    return {
+        "n": n,
+        "ma": x["ma"] + da * share,
+        "mb": x["mb"] + db * share,
+        "maa": x["maa"] + y["maa"] + da * da * weight,
+        "mbb": x["mbb"] + y["mbb"] + db * db * weight,
+        "mab": x["mab"] + y["mab"] + da * db * weight,
+    }
+
+
+def _task_moments(k: int):
+    """One row per pair of k columns and task, also where a task has no rows."""
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = {f: np.zeros((k, k)) for f in _FIELDS}
         for batch in batches:
-            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]) - shift
-            missing = np.isnan(x)
-            x[missing] = 0.0
-            there = (~missing).astype("float64")
-            n += there.T @ there
-            s += x.T @ there
-            q += (x * x).T @ there
-            p += x.T @ x
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            found = _merged(found, _batch_moments(x.astype("float64")))
         a, b = np.triu_indices(k)
-        moments = (n[a, b], s[a, b], s[b, a], q[a, b], q[b, a], p[a, b])
-        names = ("n", "sa", "sb", "saa", "sbb", "sab")
         pairs = {"a": a.astype("int32"), "b": b.astype("int32")}
-        yield pa.RecordBatch.from_pydict(pairs | dict(zip(names, moments, strict=True)))
+        yield pa.RecordBatch.from_pydict(pairs | {f: found[f][a, b] for f in _FIELDS})
 
-    return sums
+    return moments
 
 
-def _by_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    values = df.select(*[nan_to_null(c).alias(f"c{i}") for i, c in enumerate(columns)])
-    # Correlation does not change when a constant is taken off a column. The mean of all its
-    # values keeps the sums of squares from drowning the differences.
-    means = values.agg(*[F.avg(c).alias(c) for c in values.columns]).first()
-    shift = np.array([v if v is not None else 0.0 for v in means])
-    sums = (
-        values.mapInArrow(_moment_sums(shift), _MOMENTS)
-        .groupBy("a", "b")
-        .agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
-    )
+def pair_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(a, b, n, means, centred squares and products) of every pair of columns, by their numbers.
+
+    One pass over the table: batches are merged in their task, and tasks, one row per pair each, in
+    the order of their counts and means, with the same formula.
+    """
+    values = df.select(*[nan_to_null(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    parts = values.mapInArrow(_task_moments(len(columns)), _MOMENTS)
+    listed = parts.groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct(*_FIELDS))).alias("parts"))
+    zero = F.struct(*[F.lit(0.0).alias(k) for k in _FIELDS])
 
-    def spread(s: str, ss: str) -> Column:
-        v = F.col(ss) - F.try_divide(F.col(s) * F.col(s), "n")
+    def add(x: Column, y: Column) -> Column:
+        both = _merged({k: x[k] for k in _FIELDS}, {k: y[k] for k in _FIELDS}, lambda n, least: F.greatest(n, F.lit(float(least))))
+        return F.struct(*[both[k].alias(k) for k in _FIELDS])
+
+    return listed.select("a", "b", F.aggregate("parts", zero, add).alias("m")).select("a", "b", "m.*")
+
+
+def _by_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    def spread(mean: str, squares: str) -> Column:
         # What is left of a constant column is rounding error.
-        return F.when(v > F.col(ss) * 1e-12, v)
+        return F.when(F.col(squares) > F.col("n") * F.col(mean) * F.col(mean) * 1e-26, F.col(squares))
 
-    covariance = F.col("sab") - F.try_divide(F.col("sa") * F.col("sb"), "n")
-    r = F.try_divide(covariance, F.sqrt(spread("sa", "saa")) * F.sqrt(spread("sb", "sbb")))
+    r = F.try_divide(F.col("mab"), F.sqrt(spread("ma", "maa")) * F.sqrt(spread("mb", "mbb")))
     names = F.array(*[F.lit(c) for c in columns])
-    return sums.select(
+    return pair_moments(df, columns).select(
         F.get(names, F.col("a")).alias("a"), F.get(names, F.col("b")).alias("b"), r.alias("r")
     )
 
@@ -74,8 +112,8 @@ def _by_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def corr_matrix(df: DataFrame, columns: Sequence[str], method: str = "matrix") -> DataFrame:
     """Upper triangle with the diagonal, in long form (a, b, r).
 
-    ``matrix`` reads the means and then multiplies Arrow batches, at any number of columns;
-    ``pairs`` is one JVM aggregation, for few columns. Both shuffle only sums.
+    ``matrix`` is one pass over Arrow batches whose moments are merged, at any number of columns;
+    ``pairs`` is one JVM aggregation, for few columns. Both shuffle a few numbers per pair and task.
     """
     pairs = list(combinations_with_replacement(columns, 2))
     if method == "matrix":

@@ -352,14 +352,20 @@ _GAP_FEATURES = ("value", "k", "p1", "user_id", "constant")
 _GAP_CONSTANT_SQL = f"(SELECT *, 7 AS constant FROM {GAPS_SQL})"
 
 
-def _gap_correlation(spark, sf_dir, method):
+def _gap_correlation(spark, sf_dir, method, columns=_GAP_FEATURES):
     gaps = with_gaps(scored_events(spark, sf_dir)).withColumn("constant", F.lit(7))
-    return correlation.corr_matrix(gaps, _GAP_FEATURES, method).withColumn("r", r6("r"))
+    return correlation.corr_matrix(gaps, columns, method).withColumn("r", r6("r"))
 
 
 @query("correlation_with_gaps", _corr_union(_GAP_FEATURES, _GAP_CONSTANT_SQL))
 def correlation_with_gaps(spark, sf_dir):
-    return _gap_correlation(spark, sf_dir, "pairs")
+    return _gap_correlation(spark, sf_dir, "matrix")
+
+
+@query("correlation_few_columns", _corr_union(_GAP_FEATURES[:3], _GAP_CONSTANT_SQL))
+def correlation_few_columns(spark, sf_dir):
+    """A few columns in one JVM aggregation, without Python on the executors."""
+    return _gap_correlation(spark, sf_dir, "pairs", _GAP_FEATURES[:3])
 
 
 @query("correlation_with_gaps_by_matrix", _corr_union(_GAP_FEATURES, _GAP_CONSTANT_SQL))

@@ -172,6 +172,23 @@ def test_correlation_does_not_depend_on_the_first_rows(spark):
     assert all(abs(r - 1.0) < 1e-9 for r in found.values())
 
 
+def test_moments_merge_over_tasks_without_losing_digits(spark):
+    """Values far from zero with a small spread, in many tasks, some of them without a row that has both."""
+    rng = np.random.default_rng(4)
+    x = 1e9 + rng.normal(size=3000)
+    y = 2e9 - 0.5 * (x - 1e9) + rng.normal(size=3000)
+    rows = [(float(a) if i % 7 else None, float(b) if i % 5 else None) for i, (a, b) in enumerate(zip(x, y))]
+    rows += [(1e9, None)] * 50 + [(None, 2e9)] * 50 + [(None, None)] * 50
+    df = spark.createDataFrame(rows, "x double, y double").repartition(13).sortWithinPartitions("x")
+    both = np.array([r for r in rows if None not in r])
+    m = {(r.a, r.b): r for r in correlation.pair_moments(df, ["x", "y"]).collect()}[0, 1]
+    assert m.n == len(both) and (m.ma, m.mb) == pytest.approx(both.mean(axis=0), rel=1e-14)
+    centred = both - both.mean(axis=0)
+    assert m.maa == pytest.approx((centred[:, 0] ** 2).sum(), rel=1e-7)
+    assert m.mab == pytest.approx((centred[:, 0] * centred[:, 1]).sum(), rel=1e-6)
+    assert all(r.n == 0 for r in correlation.pair_moments(df.limit(0), ["x", "y"]).collect())
+
+
 def test_wide_label_correlation_equals_the_narrow_one(spark):
     rng = np.random.default_rng(4)
     pdf = pd.DataFrame(rng.normal(0, 1, (100, 14)), columns=[f"f{i}" for i in range(14)])
