@@ -137,3 +137,10 @@ def logistic(weights: Mapping[str, float], intercept: float) -> Column:
     """Probability of the positive class for a model with known coefficients."""
     margin = sum((F.col(c) * F.lit(float(w)) for c, w in weights.items()), F.lit(float(intercept)))
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
+
+
+def hash_share(key: Column | str, seed: int = 42) -> Column:
+    """A whole number from 0 to 99 that depends on the key's text and the seed alone, by MD5: the
+    same in any engine. Null for a null key."""
+    text = F.concat((F.col(key) if isinstance(key, str) else key).cast("string"), F.lit(f":{seed}"))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 100

@@ -54,8 +54,9 @@ def with_id(df: DataFrame, name: str = "id") -> DataFrame:
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """n rows chosen by a seeded hash of the key: the same rows under any partitioning."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """n rows chosen by a seeded MD5 of the key's text: the same rows under any partitioning, and in
+    any engine."""
+    return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), key).limit(n)
 
 
 def append(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scorewatch.functions.columns import hash_share
 from scorewatch.operators.clean import fill_missing
 from scorewatch.operators.features import assembler, scaler
 from scorewatch.sources.tables import from_rows
@@ -24,15 +25,19 @@ def split(
     """Training and test rows.
 
     With ``key`` a row's side depends on its key alone, so it does not change with the
-    partitioning, and rows of one key stay together; ``method="mod"`` uses the last digits
-    of a number instead of a hash. Without it, ``randomSplit`` sorts every partition.
+    partitioning, and rows of one key stay together: by a hash, by an MD5 that other engines
+    have too (``method="md5"``), or by the last digits of a number (``"mod"``). Without it,
+    ``randomSplit`` sorts every partition.
     """
     if key is None:
         first, second = df.randomSplit([train, 1 - train], seed=seed)
         return first, second
-    if method not in ("hash", "mod"):
+    if method not in ("hash", "md5", "mod"):
         raise ValueError(f"unknown split method {method!r}")
-    number = F.xxhash64(F.col(key), F.lit(seed)) if method == "hash" else F.col(key)
+    if method == "md5":
+        number = hash_share(key, seed)
+    else:
+        number = F.xxhash64(F.col(key), F.lit(seed)) if method == "hash" else F.col(key)
     # A null key goes to the training side instead of vanishing from both.
     in_train = F.coalesce(F.pmod(number, F.lit(100)) < round(train * 100), F.lit(True))
     return df.filter(in_train), df.filter(~in_train)

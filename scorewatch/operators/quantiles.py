@@ -73,6 +73,34 @@ def approximate_quantiles(
     )
 
 
+def rank_errors(
+    df: DataFrame, column: str, found: DataFrame, by: Sequence[str] = (), probabilities: dict[str, float] = QUARTILES
+) -> DataFrame:
+    """How far, in rows, each quantile of ``found`` is from the rank it stands for; and ``n``.
+
+    Measured against counted values: a quantile stands for the ranks that its equal rows cover, from
+    1 + the rows below it. ``found`` has one row per group, which is joined to value counts.
+    """
+    key = F.struct(F.lit(0).alias("_0"), *by)
+    counts = _value_counts(df, column, by).select(key.alias("_key"), "_value", "_n")
+    joined = counts.join(found.select(key.alias("_key"), *[F.col(n).alias(f"_at_{n}") for n in probabilities]), "_key")
+
+    def rows(which: Column) -> Column:
+        return F.sum(F.when(which, F.col("_n")).otherwise(0))
+
+    ranks = joined.groupBy("_key").agg(
+        F.sum("_n").alias("n"),
+        *[rows(F.col("_value") < F.col(f"_at_{n}")).alias(f"_below_{n}") for n in probabilities],
+        *[rows(F.col("_value") <= F.col(f"_at_{n}")).alias(f"_upto_{n}") for n in probabilities],
+    )
+
+    def error(n: str, p: float) -> Column:
+        wanted = F.ceil(F.lit(p) * F.col("n"))
+        return F.greatest(F.lit(0), F.col(f"_below_{n}") + 1 - wanted, wanted - F.col(f"_upto_{n}")).cast("bigint")
+
+    return ranks.select(*[F.col(f"_key.{c}").alias(c) for c in by], "n", *[error(n, p).alias(n) for n, p in probabilities.items()])
+
+
 def box_stats(
     df: DataFrame, column: str, by: Sequence[str] = (), ranges: int | None = None
 ) -> DataFrame:

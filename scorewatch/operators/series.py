@@ -40,23 +40,24 @@ def dedup_consecutive(
     return seen.filter(keep).drop("_before")
 
 
-def last_n(df: DataFrame, n: int, order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def last_n(
+    df: DataFrame, n: int, order: Sequence[str], by: Sequence[str] = (), ranges: int | None = None
+) -> DataFrame:
     """The newest n rows, overall or per key.
 
     Overall, each task keeps its own n rows before they meet. Per key, Spark keeps n rows
     per key on each side of the shuffle as long as n is below
-    ``spark.sql.optimizer.windowGroupLimitThreshold``; above it the keys are salted, so
-    that no task sorts all rows of one key.
+    ``spark.sql.optimizer.windowGroupLimitThreshold``. Above it rows are numbered from both ends by
+    counted ranges (``operators.ordered``), so that no task holds all rows of one key, at any n.
     """
     newest = [F.desc(c) for c in order]
     if not by:
         return df.orderBy(*newest).limit(n)
     limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n > limit:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(64)))
-        first = Window.partitionBy(*by, "_salt").orderBy(*newest)
-        df = salted.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= n)
-        df = df.drop("_salt", "_rank")
+        one = df.withColumn("_one", F.lit(1).cast("bigint"))
+        numbered = running_sums(one, by, order, {"_place": "_one"}, {"_all": "_one"}, ranges)
+        return numbered.filter(F.col("_all") - F.col("_place") < n).select(*df.columns)
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(*newest))
     return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
 

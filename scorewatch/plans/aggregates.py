@@ -217,6 +217,24 @@ def approximate_quartiles(spark, sf_dir):
     )
 
 
+QUARTILE_ACCURACY = 1000
+
+
+@query(
+    "approximate_quartile_errors",
+    f"""SELECT l_returnflag, count(*) AS n, true AS q1, true AS median, true AS q3, count(*) // {QUARTILE_ACCURACY} + 1 AS bound
+        FROM lineitem GROUP BY 1""",
+)
+def approximate_quartile_errors(spark, sf_dir):
+    """Whether each sketched quartile is within its bound, a thousandth of the rows, of its rank: measured
+    against the counted values."""
+    lines, by = table(spark, sf_dir, "lineitem"), ["l_returnflag"]
+    found = quantiles.approximate_quantiles(lines, "l_extendedprice", by, accuracy=QUARTILE_ACCURACY)
+    errors = quantiles.rank_errors(lines, "l_extendedprice", found, by)
+    bound = F.floor(F.col("n") / QUARTILE_ACCURACY) + 1
+    return errors.select(*by, "n", *[(F.col(q) <= bound).alias(q) for q in quantiles.QUARTILES], bound.alias("bound"))
+
+
 def _bars_sql(base: str) -> str:
     return f"""SELECT event_type, predicted_label, round(height, 4) AS height, {base} AS base
       FROM (SELECT event_type, predicted_label, sum(value - 30) AS height FROM {SCORED_SQL}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scorewatch.functions.columns import logistic
 from scorewatch.operators import counts, evaluate, features, model
+from scorewatch.operators import logistic as logistic_fit
 from scorewatch.operators.clean import fill_missing
 from scorewatch.plans.registry import (
     FEATURES_SQL,
@@ -205,37 +206,78 @@ def split_by_key(spark, sf_dir):
     return sides.groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives"))
 
 
-@query("split_by_hash")
+def _md5_share_sql(key: str, seed: int = 42) -> str:
+    return f"(CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{seed}'), 1, 8) AS BIGINT) % 100)"
+
+
+@query(
+    "split_by_hash",
+    f"""SELECT CASE WHEN {_md5_share_sql("l_orderkey")} < 80 THEN 'train' ELSE 'test' END AS side, count(*) AS n,
+          CAST(sum(label) AS BIGINT) AS positives FROM {FEATURES_SQL} GROUP BY 1""",
+)
 def split_by_hash(spark, sf_dir):
-    first, second = model.split(feature_table(spark, sf_dir), 0.8, key="l_orderkey")
+    first, second = model.split(feature_table(spark, sf_dir), 0.8, key="l_orderkey", method="md5")
     sides = first.withColumn("side", F.lit("train")).unionByName(second.withColumn("side", F.lit("test")))
     return sides.groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives"))
 
 
-def train_lines(spark, sf_dir):
-    """Model and held-out rows."""
-    first, second = model.split(feature_table(spark, sf_dir), 0.8, key="l_orderkey")
-    return model.train(first, LINE_SPEC, partitions=spark.sparkContext.defaultParallelism), second
+NEWTON_STEPS = 7
+
+
+def _newton_sql(rows: str, names, steps: int = NEWTON_STEPS) -> str:
+    """Common tables in which the same Newton steps are taken; the last, ``fitted``, has one row of
+    coefficients b0 (intercept), b1, ... Each step solves its system by elimination."""
+    k = len(names) + 1
+    cells = [(i, j) for i in range(k) for j in range(k + 1)]
+    ctes = [
+        f"train AS MATERIALIZED ({rows})",
+        "span AS MATERIALIZED (SELECT " + ", ".join(f"min({c}) AS low{i}, max({c}) AS high{i}" for i, c in enumerate(names, 1)) + " FROM train)",
+        "x AS MATERIALIZED (SELECT 1.0::DOUBLE AS x0, "
+        + ", ".join(f"({c} - low{i}) / (high{i} - low{i}) AS x{i}" for i, c in enumerate(names, 1))
+        + ", label::DOUBLE AS y FROM train, span)",
+        "beta_0 AS MATERIALIZED (SELECT " + ", ".join(f"0.0::DOUBLE AS b{i}" for i in range(k)) + ")",
+    ]
+    for t in range(steps):
+        margin = " + ".join(f"b{i} * x{i}" for i in range(k))
+        ctes.append(f"p_{t} AS MATERIALIZED (SELECT x.*, 1 / (1 + exp(-({margin}))) AS p FROM x, beta_{t})")
+        sums = [f"sum(p * (1 - p) * x{i} * x{j}) AS a{i}_{j}" if j < k else f"sum((y - p) * x{i}) AS a{i}_{k}" for i, j in cells]
+        ctes.append(f"e_{t}_0 AS MATERIALIZED (SELECT {', '.join(sums)} FROM p_{t})")
+        for c in range(k - 1):
+            rest = [f"a{i}_{j} - a{i}_{c} / a{c}_{c} * a{c}_{j} AS a{i}_{j}" if i > c else f"a{i}_{j}" for i, j in cells]
+            ctes.append(f"e_{t}_{c + 1} AS MATERIALIZED (SELECT {', '.join(rest)} FROM e_{t}_{c})")
+        ctes.append(f"s_{t}_{k} AS MATERIALIZED (SELECT * FROM e_{t}_{k - 1})")
+        for c in reversed(range(k)):
+            known = "".join(f" - a{c}_{j} * d{j}" for j in range(c + 1, k))
+            ctes.append(f"s_{t}_{c} AS MATERIALIZED (SELECT *, (a{c}_{k}{known}) / a{c}_{c} AS d{c} FROM s_{t}_{c + 1})")
+        ctes.append(f"beta_{t + 1} AS MATERIALIZED (SELECT " + ", ".join(f"b{i} + d{i} AS b{i}" for i in range(k)) + f" FROM beta_{t}, s_{t}_0)")
+    ctes.append(f"fitted AS MATERIALIZED (SELECT * FROM beta_{steps}, span)")
+    return ",\n".join(ctes)
+
+
+_IN_TRAINING_SQL = f"{_md5_share_sql('l_orderkey')} < 80"
+_LINE_NEWTON_SQL = _newton_sql(f"SELECT * FROM {FEATURES_SQL} WHERE {_IN_TRAINING_SQL}", LINE_SPEC.features)
+_FITTED_PROBABILITY_SQL = "1 / (1 + exp(-(b0 + " + " + ".join(
+    f"b{i} * ({c} - low{i}) / (high{i} - low{i})" for i, c in enumerate(LINE_SPEC.features, 1)
+) + ")))"
 
 
-@query("train_and_evaluate")
-def train_and_evaluate(spark, sf_dir):
-    """Fit on four fifths of the line items, all metrics on the rest."""
-    fitted, held_out = train_lines(spark, sf_dir)
-    scored = model.score(held_out, fitted, LINE_SPEC)
-    metrics = evaluate.evaluate(scored, "label", "predicted_label", "malignant_probability")
-    return metrics.withColumn("value", F.round("value", 4))
+def train_lines(spark, sf_dir):
+    """Model and held-out rows."""
+    first, second = model.split(feature_table(spark, sf_dir), 0.8, key="l_orderkey", method="md5")
+    return logistic_fit.fit_newton(first, LINE_SPEC, NEWTON_STEPS), second
 
 
-@query("score_with_saved_model")
-def score_with_saved_model(spark, sf_dir):
-    """Fit, save, load, and score every line item with what was loaded."""
+@query(
+    "newton_coefficients",
+    f"WITH {_LINE_NEWTON_SQL}, named AS (SELECT b0 AS intercept, "
+    + ", ".join(f"b{i} AS {c}" for i, c in enumerate(LINE_SPEC.features, 1))
+    + " FROM fitted) SELECT name, round(weight, 4) AS weight FROM (UNPIVOT named ON COLUMNS(*) INTO NAME name VALUE weight)",
+)
+def newton_coefficients(spark, sf_dir):
+    """Coefficients after a fixed number of steps."""
     fitted, _ = train_lines(spark, sf_dir)
-    path = scratch_folder(spark, "model")
-    model.save_model(fitted, LINE_SPEC, path)
-    loaded, spec = model.load_model(path)
-    lines = feature_table(spark, sf_dir)
-    return model.score(lines, loaded, spec)
+    rows = [("intercept", fitted.intercept), *zip(fitted.features, fitted.weights, strict=True)]
+    return spark.createDataFrame(rows, "name string, weight double").withColumn("weight", F.round("weight", 4))
 
 
 # --- metrics -----------------------------------------------------------------------
@@ -290,16 +332,16 @@ def weighted_metrics_of_scores(spark, sf_dir):
     return _rounded(evaluate.weighted_metrics(_line_predictions(spark, sf_dir)))
 
 
-@query(
-    "positive_metrics",
-    f"""SELECT round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall,
+_POSITIVE_SQL = """SELECT round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall,
           round(tn / (tn + fp), 6) AS specificity, round(2 * tp / (2 * tp + fp + fn), 6) AS f1
         FROM (SELECT count(CASE WHEN label = 1 AND prediction = 1 THEN 1 END) AS tp,
                 count(CASE WHEN label <> 1 AND prediction = 1 THEN 1 END) AS fp,
                 count(CASE WHEN label = 1 AND prediction <> 1 THEN 1 END) AS fn,
                 count(CASE WHEN label <> 1 AND prediction <> 1 THEN 1 END) AS tn
-              FROM {_LINE_PREDICTIONS_SQL})""",
-)
+              FROM {source})"""
+
+
+@query("positive_metrics", _POSITIVE_SQL.format(source=_LINE_PREDICTIONS_SQL))
 def positive_metrics(spark, sf_dir):
     return _rounded(evaluate.positive_metrics(_line_predictions(spark, sf_dir)))
 
@@ -360,3 +402,112 @@ def area_under_roc(spark, sf_dir):
 @query("area_under_roc_split", _AUC_SQL.format(source=_PRICE_SOURCE_SQL))
 def area_under_roc_split(spark, sf_dir):
     return _rounded(evaluate.area_under_roc(_price_scores(spark, sf_dir), ranges=16))
+
+
+# --- training and scoring over whole tables ------------------------------------------
+
+
+def _metrics_sql() -> str:
+    source = "predicted"
+    one = f"""SELECT * FROM ({_weighted_sql(source)}), ({_POSITIVE_SQL.format(source=source)}), ({_AUC_SQL.format(source=source)})"""
+    return f"""WITH {_LINE_NEWTON_SQL},
+      predicted AS MATERIALIZED (
+        SELECT label, p AS score, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS prediction
+        FROM (SELECT label, {_FITTED_PROBABILITY_SQL} AS p FROM {FEATURES_SQL}, fitted WHERE NOT {_IN_TRAINING_SQL})),
+      metrics AS ({one})
+      SELECT metric, round(value, 4) AS value FROM (UNPIVOT metrics ON COLUMNS(*) INTO NAME metric VALUE value)"""
+
+
+def train_and_evaluate(spark, sf_dir):
+    """Fit on four fifths of the line items, all metrics on the rest."""
+    fitted, held_out = train_lines(spark, sf_dir)
+    scored = logistic_fit.score_linear(held_out, fitted)
+    metrics = evaluate.evaluate(scored, "label", "predicted_label", "malignant_probability")
+    return metrics.withColumn("value", F.round("value", 4))
+
+
+query("train_and_evaluate", _metrics_sql())(train_and_evaluate)
+
+
+@query(
+    "score_with_saved_model",
+    f"""WITH {_LINE_NEWTON_SQL}
+      SELECT l_orderkey, l_linenumber, {", ".join(LINE_SPEC.features)}, label,
+        CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS predicted_label, round(1 - p, 6) AS benign_probability,
+        round(p, 6) AS malignant_probability
+      FROM (SELECT l.*, {_FITTED_PROBABILITY_SQL} AS p FROM {FEATURES_SQL} l, fitted)""",
+)
+def score_with_saved_model(spark, sf_dir):
+    """Fit, save, load, and score every line item with what was loaded."""
+    fitted, _ = train_lines(spark, sf_dir)
+    path = scratch_folder(spark, "model")
+    fitted.save(spark, path)
+    loaded = logistic_fit.LinearModel.load(spark, path)
+    scored = logistic_fit.score_linear(feature_table(spark, sf_dir), loaded)
+    return scored.withColumns({c: r6(c) for c in ("benign_probability", "malignant_probability")})
+
+
+@query(
+    "train_by_stages",
+    f"SELECT count(*) AS rows, true AS near FROM {FEATURES_SQL}",
+)
+def train_by_stages(spark, sf_dir):
+    """The classifier of the ML library, saved and loaded: it and the Newton steps, which reach the same
+    maximum, differ by less than two hundredths in every probability."""
+    first, _ = model.split(feature_table(spark, sf_dir), 0.8, key="l_orderkey", method="md5")
+    staged = model.train(first, LINE_SPEC, max_iter=60, partitions=spark.sparkContext.defaultParallelism)
+    path = scratch_folder(spark, "model")
+    model.save_model(staged, LINE_SPEC, path)
+    loaded, spec = model.load_model(path)
+    by_stages = model.score(feature_table(spark, sf_dir), loaded, spec)
+    renamed = by_stages.withColumnRenamed("malignant_probability", "p_stages").drop("benign_probability", "predicted_label")
+    both = logistic_fit.score_linear(renamed, logistic_fit.fit_newton(first, LINE_SPEC, NEWTON_STEPS))
+    apart = F.abs(F.col("malignant_probability") - F.col("p_stages"))
+    return both.agg(F.count(F.lit(1)).alias("rows"), (F.max(apart) < 0.02).alias("near"))
+
+
+# --- all 64 columns of the embeddings ----------------------------------------------
+
+WIDE = tuple(f"e{i}" for i in range(64))
+_WIDE_SPEC = FeatureSpec(WIDE, "label")
+_WIDE_WEIGHTS = [float(i % 7 - 3) for i in range(64)]
+
+
+def _wide(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    values = [F.get("embedding", F.lit(i)).cast("double").alias(n) for i, n in enumerate(WIDE)]
+    return vectors.select("vec_id", *values, (F.col("label") < 5).cast("int").alias("label"))
+
+
+@query(
+    "wide_scores",
+    "SELECT vec_id, round(1 / (1 + exp(-("
+    + " + ".join(
+        f"{w} * (e{i} - min(e{i}) OVER ()) / (max(e{i}) OVER () - min(e{i}) OVER ())" for i, w in enumerate(_WIDE_WEIGHTS)
+    )
+    + "))), 6) AS malignant_probability FROM (SELECT vec_id, "
+    + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(64))
+    + " FROM embeddings)",
+)
+def wide_scores(spark, sf_dir):
+    """All 64 columns scaled and scored with fixed coefficients, in generated code."""
+    wide = _wide(spark, sf_dir)
+    ranges = features.fit_ranges(wide, WIDE)
+    low, high = (tuple(ranges[c][k] for c in WIDE) for k in (0, 1))
+    scored = logistic_fit.score_linear(wide, logistic_fit.LinearModel(WIDE, low, high, tuple(_WIDE_WEIGHTS), 0.0))
+    return scored.select("vec_id", r6("malignant_probability").alias("malignant_probability"))
+
+
+@query(
+    "wide_training",
+    "SELECT count(*) AS rows, 64 AS features, true AS at_maximum FROM embeddings",
+)
+def wide_training(spark, sf_dir):
+    """A classifier over all 64 columns; the gradient of the penalized likelihood at its coefficients,
+    summed over every row, is zero but for rounding."""
+    wide = _wide(spark, sf_dir)
+    fitted = logistic_fit.fit_newton(wide, _WIDE_SPEC, 5, ridge=1.0, method="matrix")
+    slope = float(abs(logistic_fit.gradient_of(wide, fitted, "label", ridge=1.0)).max())
+    return wide.agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(len(fitted.weights)).alias("features"), F.lit(slope < 1e-6).alias("at_maximum")
+    )

@@ -429,6 +429,25 @@ def random_ids(spark, sf_dir):
     return clean.with_id(table(spark, sf_dir, "customer").select("c_custkey"))
 
 
-@query("sample_rows")
+@query("processed_at_counts", f"SELECT count(*) AS rows, 1::BIGINT AS times, true AS of_today FROM {SCORED_SQL}")
+def processed_at_counts(spark, sf_dir):
+    """One processing time for all rows of a batch, and not one of another day."""
+    stamped = clean.with_processed_at(scored_events(spark, sf_dir))
+    near = F.abs(F.datediff(F.max("timestamp"), F.current_date())) <= 1
+    return stamped.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("timestamp").alias("times"), near.alias("of_today"))
+
+
+@query("random_id_counts", "SELECT count(*) AS rows, count(*) AS ids, true AS well_formed FROM customer")
+def random_id_counts(spark, sf_dir):
+    """As many ids as rows, all of them in the usual form."""
+    with_ids = clean.with_id(table(spark, sf_dir, "customer").select("c_custkey"))
+    formed = F.bool_and(F.col("id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"))
+    return with_ids.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("ids"), formed.alias("well_formed"))
+
+
+@query(
+    "sample_rows",
+    f"SELECT * FROM {SCORED_SQL} ORDER BY md5(CAST(event_id AS VARCHAR) || ':42'), event_id LIMIT 50",
+)
 def sample_rows(spark, sf_dir):
     return clean.sample_rows(scored_events(spark, sf_dir), "event_id", 50)

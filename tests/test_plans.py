@@ -56,9 +56,9 @@ def test_newest_rows_are_cut_in_each_task(spark, sf_dir, name):
 
 @pytest.mark.parametrize("name", ["last_n_per_user", "last_n_per_type"])
 def test_rank_is_limited_before_the_shuffle(spark, sf_dir, name):
-    """A hot key sends n rows per task, not all of them; above Spark's own limit keys are salted."""
+    """A hot key sends n rows per task, not all of them; above Spark's own limit ranges are counted."""
     plan = plan_of(QUERIES[name](spark, sf_dir))
-    assert ("WindowGroupLimit" in plan) != ("_salt" in plan)
+    assert ("WindowGroupLimit" in plan) != ("_ordered_part" in plan)
 
 
 def test_split_work_never_sorts_a_whole_key(spark, sf_dir):
