@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from scorewatch.functions.columns import nan_to_null
 from scorewatch.operators.clean import fill_missing
 from scorewatch.operators.features import fit_ranges
+from scorewatch.session import stage
 from scorewatch.spec import FeatureSpec
 
 
@@ -117,17 +118,25 @@ def gradient_of(df: DataFrame, model: LinearModel, label: str, ridge: float = 0.
 
 
 def fit_newton(
-    df: DataFrame, spec: FeatureSpec, steps: int = 8, ridge: float = 0.0, method: str = "columns"
+    df: DataFrame,
+    spec: FeatureSpec,
+    steps: int = 8,
+    ridge: float = 0.0,
+    method: str = "columns",
+    partitions: int | None = None,
 ) -> LinearModel:
     """Fit on rows that have a label and all features, scaled by the ranges of all values.
 
     ``columns`` sums in generated code, ``matrix`` multiplies Arrow batches at any number of
-    features. ``ridge`` keeps coefficients finite where the classes can be parted.
+    features. ``ridge`` keeps coefficients finite where the classes can be parted. Features and
+    label are written once, so that a step reads no other column and repeats no other work;
+    ``partitions`` deals them out where the table's files are few.
     """
     if method not in ("columns", "matrix"):
         raise ValueError(f"unknown method {method!r}")
     features = tuple(spec.features)
     rows = df.select(*features, spec.label)
+    rows = stage(rows if partitions is None else rows.repartition(partitions), "training")
     ranges = fit_ranges(rows, features)
     if any(low is None for low, _ in ranges.values()):
         raise ValueError("a feature has no values")

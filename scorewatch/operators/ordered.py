@@ -13,9 +13,10 @@ elsewhere. Rows that are equal in key and order are never parted.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scorewatch.session import stage
@@ -37,7 +38,25 @@ def dealt(df: DataFrame, by: Sequence[str], order: Sequence[str], ranges: int |
     """
     columns = [F.col(c) for c in (*by, *order)]
     cut = df.repartitionByRange(*columns) if ranges is None else df.repartitionByRange(ranges, *columns)
-    return stage(cut.withColumn(_PART, F.spark_partition_id()), "ordered")
+    with _full_partitions(df.sparkSession):
+        return stage(cut.withColumn(_PART, F.spark_partition_id()), "ordered")
+
+
+@contextmanager
+def _full_partitions(spark: SparkSession) -> Iterator[None]:
+    """Small partitions are merged up to the advisory size: every edge between two costs a lookup."""
+    name = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _is_whole(rows: DataFrame) -> bool:
+    """One partition, one file: nothing is carried anywhere."""
+    return len(rows.inputFiles()) <= 1
 
 
 def _edges(rows: DataFrame, by: Sequence[str], share: Column) -> DataFrame:
@@ -73,6 +92,13 @@ def running_sums(
     """
     totals = dict(totals or {})
     rows = dealt(df, by, order, ranges)
+    here = Window.partitionBy(_PART, *by)
+    ahead = here.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = rows.withColumns(
+        {n: F.sum(c).over(ahead) for n, c in sums.items()} | {n: F.sum(c).over(here) for n, c in totals.items()}
+    )
+    if _is_whole(rows):
+        return local.drop(_PART)
     parts = {f"s{i}": c for i, c in enumerate(sums.values())} | {f"t{i}": c for i, c in enumerate(totals.values())}
     edges = _edges(rows, by, F.struct(*[F.sum(c).alias(p) for p, c in parts.items()]))
     # As many rows of a key as there are partitions at most.
@@ -84,11 +110,6 @@ def running_sums(
         *[F.sum(f"{_SHARE}.s{i}").over(earlier).alias(f"_ordered_s{i}") for i in range(len(sums))],
         *[F.sum(f"{_SHARE}.t{i}").over(of_key).alias(f"_ordered_t{i}") for i in range(len(totals))],
     )
-    here = Window.partitionBy(_PART, *by)
-    ahead = here.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = rows.withColumns(
-        {n: F.sum(c).over(ahead) for n, c in sums.items()} | {n: F.sum(c).over(here) for n, c in totals.items()}
-    )
     return _with_carried(local, by, carried).select(
         *df.columns,
         *[(F.col(n) + F.coalesce(f"_ordered_s{i}", F.lit(0))).alias(n) for i, n in enumerate(sums)],
@@ -107,8 +128,10 @@ def previous_row(
     """Add a struct of the given columns of the row before, null on the first row of a key."""
     wanted = F.struct(*columns)
     rows = dealt(df, by, order, ranges)
+    local = rows.withColumn(into, F.lag(wanted).over(Window.partitionBy(_PART, *by).orderBy(*order)))
+    if _is_whole(rows):
+        return local.drop(_PART)
     edges = _edges(rows, by, F.max_by(wanted, F.struct(*order)))
     before = F.lag(_SHARE).over(Window.partitionBy(_KEY).orderBy(_PART))
     carried = edges.select(_PART, _KEY, before.alias("_ordered_before"))
-    local = rows.withColumn(into, F.lag(wanted).over(Window.partitionBy(_PART, *by).orderBy(*order)))
     return _with_carried(local, by, carried).select(*df.columns, F.coalesce(into, "_ordered_before").alias(into))

@@ -264,7 +264,8 @@ _FITTED_PROBABILITY_SQL = "1 / (1 + exp(-(b0 + " + " + ".join(
 def train_lines(spark, sf_dir):
     """Model and held-out rows."""
     first, second = model.split(feature_table(spark, sf_dir), 0.8, key="l_orderkey", method="md5")
-    return logistic_fit.fit_newton(first, LINE_SPEC, NEWTON_STEPS), second
+    cores = spark.sparkContext.defaultParallelism
+    return logistic_fit.fit_newton(first, LINE_SPEC, NEWTON_STEPS, partitions=cores), second
 
 
 @query(

@@ -12,7 +12,7 @@ from scorewatch.plans.registry import QUERIES, scored_events
 # These write files or fit models, so that their plan only reads the outcome.
 EAGER = {n for n in QUERIES if n.startswith(("stream_", "live_", "history_", "csv_"))}
 # Matrix products over Arrow batches.
-PYTHON = {n for n in QUERIES if "correlation" in n and n != "correlation_with_gaps"}
+PYTHON = {n for n in QUERIES if "correlation" in n and n != "correlation_few_columns"}
 
 
 def plan_of(df):
