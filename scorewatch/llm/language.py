@@ -16,12 +16,12 @@ scored each for itself; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,7 +34,8 @@ LONGEST, BACKOFF = 5, 0.4
 #: Unseen words kept with their rows in one task, and texts scored between two results.
 MEMO, ROWS = 300_000, 500
 
-_WORD = re.compile(r"[^\W\d_]+")
+# Letters, and the marks that belong to them; digits, fractions and numbers in circles are no letters.
+_WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
 def words_of(text: str) -> list[str]:

@@ -36,7 +36,8 @@ from pyspark.sql import types as T
 from scorewatch.llm.graph import stage
 from scorewatch.operators.ordered import previous_row, running_sums
 
-_ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
+# A "<" outside quotes ends the try: a page of unclosed tags is read in one go.
+_ATTRIBUTES = r"""(?:[^<>"']|"[^"]*"|'[^']*')*"""
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|noscript|template|textarea|iframe|svg|object|head|select)\b"
@@ -63,6 +64,8 @@ BESIDE_WORDS = frozenset(
 )
 
 
+#: First words of class names of reader comments. An element with no other names is one, however long.
+COMMENTS = frozenset("comment comments commentlist disqus replies reply respond".split())
 #: First words of class names that tell something about an element and do not name it.
 MODIFIERS = frozenset("has have no not with without is are hide hidden show".split())
 #: Elements that some sites wrap around the whole page; cut like those told by class.
@@ -97,12 +100,32 @@ def names_beside(attributes: str) -> bool:
     return False
 
 
+def is_comments(attributes: str) -> bool:
+    """Whether all names of a class, or an id, stand for reader comments."""
+    for m in _MARK.finditer(attributes):
+        names = (m[1] or m[2] or m[3] or "").lower().split()
+        if names and all(re.split(r"[_-]+", x)[0] in COMMENTS for x in names):
+            return True
+    return False
+
+
 def lines_of(html: str) -> list[Line]:
     """Blocks of text in page order, without markup and what stands beside the article.
 
-    An element told by its class goes only if no more than half of the text around it is in it: of
-    the article's where it lies in one, else of the page's. So no wrapper of the page goes.
+    Text is the article's inside <main>, or inside <article> on pages without one. An <article> that
+    stands in a menu, an aside and the like, or is a reader comment by its class, is no article.
+    Comments go whatever their length. Another element told by its class goes only if no more than
+    half of the text around it is in it: of the article's where it lies in one, else of the page's.
+    So no wrapper of the page goes.
     """
+    main_tag = re.search(r"<main\b", html, re.IGNORECASE)
+    ends: dict[str, int] = {}
+
+    def closes_later(name: str, at: int) -> bool:
+        if name not in ends:
+            ends[name] = max((m.start() for m in re.finditer(rf"</{name}\b", html, re.IGNORECASE)), default=-1)
+        return ends[name] > at
+
     out: list[Line] = []
     pieces: list[str] = []
     open_: list[Doubtful] = []
@@ -135,7 +158,10 @@ def lines_of(html: str) -> list[Line]:
                 close()
             continue
         name = name.lower()
-        if name in MAIN:
+        # What is never closed does not hold the article.
+        inside = skipped and (name == skipped or closes_later(skipped, m.start()))
+        beside = inside or (not m["end"] and is_comments(m["attributes"]))
+        if name in MAIN and not beside and (name == "main" or not main_tag):
             close()
             if not m["end"]:
                 skipped = ""
@@ -160,7 +186,7 @@ def lines_of(html: str) -> list[Line]:
                 end(element)
         if m["end"] or name in ("html", "body"):
             continue
-        if name in BESIDE and name not in WRAPPING and not (name == "header" and main):
+        if (name in BESIDE and name not in WRAPPING and not (name == "header" and main)) or is_comments(m["attributes"]):
             close()
             skipped, depth = name, 1
         elif name in WRAPPING or (m["attributes"] and names_beside(m["attributes"])):

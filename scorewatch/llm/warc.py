@@ -84,8 +84,9 @@ def records(data: bytes) -> Iterator[bytes]:
             yield bytes(buffer[done:stop])
             done = stop
         del buffer[:done]
-        if at >= len(data) and buffer:
-            raise ValueError("the archive ends inside a record")
+        if at >= len(data) and (buffer or not stream.eof):
+            # Without its trailer a stream is not known to be whole, nor its bytes to be right.
+            raise ValueError("the archive ends inside a record or its last gzip member")
 
 
 def normalised(data: bytes) -> tuple[bytes, list[dict]]:

@@ -321,6 +321,10 @@ def test_language_backoff_and_odd_rows(spark, docs):
     seen = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(docs([(1, "the dogs"), (2, "hunde"), (3, "12 !"), (4, None)]), model).collect()}
     assert (seen[1][0], seen[2][0]) == ("en", "de") and seen[3] == seen[4] == ("und", 0.0)
     assert language.predict(docs(ODD), model).count() == len(ODD)
+    # Numbers of all kinds are no letters; vowel signs belong to their word.
+    none = language.predict(docs([(k, t) for k, t in enumerate(["²", "½ ①", "Ⅷ", "3", "__"])]), model).collect()
+    assert all((r.lang_pred, r.score) == ("und", 0.0) for r in none)
+    assert language.words_of("हिन्दी Élan x²") == ["हिन्दी", "élan", "x"]
     nothing = language.fit(rows, rows.doc_id < 0)
     assert {r.lang_pred for r in language.predict(docs([(1, "the")]), nothing).collect()} == {"und"}
 

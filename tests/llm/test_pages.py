@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import html
 import re
+import time
 from functools import partial
 
 import corpus_pipeline
@@ -62,6 +63,14 @@ def test_common_lines_are_a_longest_common_subsequence():
         ('<p title="a>b">x</p><form>no</form><footer>no</footer>', ["x"]),
         ("<section id=comments><p>no</section><p>yes</p><nav>never closed", ["yes"]),
         ("a < b and <3", ["a < b and <3"]),
+        ('<article><p>Body</p><article class="comment"><p>reader comment</p></article><p>more</article>', ["Body", "more"]),
+        ('<article>Body</article><article class="comment">reader comment</article>', ["Body"]),
+        ('<article><p>body text</p><div class="comments"><p>a longer comment of a reader<p>and another longer one</div></article>', ["body text"]),
+        ("<aside><article>teaser</article></aside><article>Body</article>", ["Body"]),
+        ("<nav><article>teaser</article></nav><p>x</p>", ["x"]),
+        ("<section id=comments-area><article class='comment odd'>by a reader</article></section><article>Body</article>", ["Body"]),
+        ("<article class=comment>by a reader</article><p>tail</p>", ["tail"]),
+        ("<nav>menu without an end<article>Body</article>", ["Body"]),
         ("", []),
     ],
 )
@@ -85,6 +94,18 @@ def test_wrappers_stay(page, lines):
     assert [x.text for x in pages.lines_of(page)] == lines
 
 
+def test_an_article_before_main_is_no_part_of_it():
+    page = "<article>teaser</article><main><h1>Title</h1><article>Body</article></main>"
+    assert [x.text for x in pages.lines_of(page) if x.main] == ["Title", "Body"]
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<a "', "<a '\"", "<div class='", "</a ", "<!--<a ", "<script "])
+def test_a_page_of_unclosed_tags_is_read_in_one_go(piece):
+    began = time.monotonic()
+    pages.lines_of(piece * (1_000_000 // len(piece)))
+    assert time.monotonic() - began < 5
+
+
 def test_template_of_the_nearest_page_goes(spark):
     rows = [
         (1, "http://h/a/1", "<p>Site head</p><p>first story</p><p>Site end</p>"),
@@ -145,6 +166,11 @@ def test_a_cut_archive_is_an_error():
     raw = warc.record(1, "u", b"payload", 7, hashlib.sha256(b"payload").hexdigest(), None)
     with pytest.raises(ValueError, match="inside a record"):
         warc.normalised(gzip.compress(raw + raw[:-20]))
+    whole = gzip.compress(raw) + gzip.compress(raw)
+    assert len(warc.normalised(whole)[1]) == 2 and warc.normalised(b"") == (b"", [])
+    for lost in (1, 8, 9):
+        with pytest.raises(ValueError, match="last gzip member"):
+            warc.normalised(whole[:-lost])
 
 
 # --- pipeline ----------------------------------------------------------------------
