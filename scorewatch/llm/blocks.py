@@ -28,8 +28,10 @@ def sizes(docs: DataFrame, text_col: str = "text") -> tuple[int, int]:
 
 
 def chunked(rows: DataFrame, chunks: int) -> DataFrame:
-    """Rows with their chunk, dealt by id."""
-    return rows.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int"))
+    """Rows with their chunk, dealt by id and text: rows without an id, or many of one id, are
+    no group of their own. Where a row goes depends on its values alone, so that a task that
+    runs again finds the same chunk."""
+    return rows.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("int"))
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:

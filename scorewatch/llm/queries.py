@@ -133,6 +133,22 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN f.first <> page_id THEN f.first END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)"""
 
+# The windows' words themselves are compared, where the operator takes hashes of 96 bits.
+ORACLES["op7_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+') AS w FROM documents),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(len(w))) AS k FROM d),
+begun AS (
+  SELECT doc_id, k, x, CASE WHEN count(*) OVER ahead = 13 THEN string_agg(x, ' ') OVER ahead END AS words FROM word
+  WINDOW ahead AS (PARTITION BY doc_id ORDER BY k ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+owned AS (
+  SELECT doc_id, k, x, words IS NOT NULL AND min(doc_id) OVER (PARTITION BY words) < doc_id AS repeated FROM begun),
+covered AS (
+  SELECT doc_id, k, x, bool_or(repeated) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone
+  FROM owned)
+SELECT doc_id, count(k) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+       sha256(coalesce(string_agg(x, ' ' ORDER BY k) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM d LEFT JOIN covered USING (doc_id) GROUP BY doc_id"""
+
 ORACLES["op13_hard_negatives"] = """
 WITH raw AS (
   SELECT vec_id AS id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,

@@ -10,7 +10,7 @@ import pytest
 import tokenizers
 from llm_cases import ODD
 
-from scorewatch.llm import bpe, decontaminate, graph, language, licenses, minhash, quality, repetition, substrings
+from scorewatch.llm import blocks, bpe, decontaminate, graph, language, licenses, minhash, quality, repetition, substrings
 from scorewatch.llm.queries import QUERIES, TOKENIZER
 from scorewatch.llm.words import slices
 
@@ -228,6 +228,22 @@ def test_substrings_of_odd_rows(spark, docs):
     assert substrings.deduplicate(docs([])).count() == 0
 
 
+def test_substrings_of_rows_without_an_id_or_with_one(spark, docs, monkeypatch):
+    """Rows of one id are dealt to many chunks, and that changes nothing but their place."""
+    monkeypatch.setattr(blocks, "CHUNK_BYTES", 2_000)
+    draw = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in draw.integers(0, 5_000, 40)) for _ in range(60)]
+    passage = " ".join(f"p{i}" for i in range(15))
+    rows = [(None, f"{t} {passage}") for t in texts[:25]] + [(7, f"{passage} {t}") for t in texts[25:50]]
+    rows += [(8 + k, f"{t} {passage}") for k, t in enumerate(texts[50:])]
+    plain = docs(rows).selectExpr("doc_id AS id", "text")
+    sizes = [r["count"] for r in blocks.chunked(plain, blocks.sizes(plain)[0]).groupBy("chunk").count().collect()]
+    assert len(sizes) > 5 and max(sizes) < 25
+    found = substrings.deduplicate(docs(rows)).collect()
+    removed = {(r.doc_id, r.n_removed) for r in found}
+    assert len(found) == len(rows) and removed == {(None, 0), (7, 0), *((8 + k, 15) for k in range(10))}
+
+
 def test_substrings_keep_white_space(spark, docs):
     shared = " ".join(f"s{i}" for i in range(13))
     rows = [(1, f"one\n{shared}\ntwo"), (2, f"three\n\n{shared}\nfour  five")]
