@@ -7,14 +7,20 @@ item's words are compared with the text's at that offset: an overlap is verified
 stretch of them has `least` equal words (all words of a shorter item), and these are at least
 `percent` of the stretch.
 
-Words are lower-cased `[^\\x20\\x09-\\x0D]+`. An item shorter than a seed
-has no seed and matches nothing. Null or empty texts and items match nothing; items of
-equal text are found alike; a row without an id matches nothing. Repeated rows of a text give
-one row each for an id. Other columns are ignored, whatever their names.
-
-Scale: only hits are shuffled. Benchmark seeds are broadcast while there are at most
-MAX_BROADCAST of them (counted first), else joined by shuffling. A passage that very many
-texts hold makes as many hits as texts, joined with one item.
+Words are lower-cased `[^\\x20\\x09-\\x0D]+`. An item shorter than a seed is looked for whole: with
+ALONE words or more where they stand consecutively in a text, with fewer where they are all of
+a text (such an item, "yes" for instance, says nothing inside of one). Null or empty texts and
+items match nothing; items of equal words are found alike; a row without an id matches nothing.
+Repeated rows of a text give one row each for an id. Other columns are ignored, whatever their names.
+
+Recall: an overlap needs one seed all of whose looked-at words are equal. Over all places of the
+replaced words, all items of 14 to 16 words with 13 equal ones have one, and 0.9996 of those of 17.
+
+Scale: items of equal words are one content. The distinct seeds of contents are broadcast while
+there are at most MAX_BROADCAST (counted first; 8 bytes each), and texts' seeds that are none of
+them go no further, so that only hits are shuffled. Places and words of contents are joined without a
+hint. Beyond the bound every seed of every text is shuffled. A passage that very many texts hold
+makes as many hits as texts, joined with one content.
 """
 
 from __future__ import annotations
@@ -22,10 +28,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Positions that a mask looks at. Each spans 9 words; together they leave any one position
-#: of a window unread by at least one of them.
-MASKS = ((0, 1, 3, 5, 6, 8), (0, 2, 3, 4, 7, 8), (0, 1, 2, 5, 7, 8))
+#: Positions that a mask looks at, of a window of 9 words: of all threes of masks of five
+#: positions that begin and end the window, one that finds the most overlaps (see Recall).
+MASKS = ((0, 1, 2, 5, 8), (0, 2, 3, 4, 8), (0, 5, 6, 7, 8))
 SPAN = 9
+#: Words of an item that is looked for inside of texts.
+ALONE = 5
 LEAST, PERCENT = 13, 75
 MAX_BROADCAST = 200_000
 
@@ -55,6 +63,22 @@ def _seeds(df: DataFrame, key: str) -> DataFrame:
     return rows.select(key, "at", F.explode(F.array(*each)).alias("seed"))
 
 
+def _pieces(df: DataFrame, key: str, lengths: list[int]) -> DataFrame:
+    """(key, at, seed) of every place where an item of one of these numbers of words may stand whole."""
+    n, none = F.size("h"), F.array().cast("array<struct<at: int, seed: bigint>>")
+
+    def of_length(size: int) -> Column:
+        here = n >= size if size >= ALONE else n == size
+        made = F.transform(
+            F.sequence(F.lit(0), F.greatest(n - size, F.lit(0))),
+            lambda i: F.struct(i.alias("at"), F.xxhash64(F.lit(-size), F.slice("h", i + 1, F.lit(size))).alias("seed")),
+        )
+        return F.when(here, made).otherwise(none)
+
+    rows = df.select(key, F.explode(F.concat(none, *map(of_length, lengths))).alias("p"))
+    return rows.select(key, "p.at", "p.seed")
+
+
 def overlaps(
     docs: DataFrame,
     items: DataFrame,
@@ -70,26 +94,30 @@ def overlaps(
     asked = items.select(items[item_col].alias("item"), words_of(items[item_text_col]).alias("words"))
     asked = asked.where(F.col("item").isNotNull() & (F.size("words") > 0)).withColumn("h", _hashes(F.col("words")))
     asked = asked.select("item", "h").distinct()
+    contents = asked.groupBy("h").agg(F.min("item").alias("content"))
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).where(
         F.col("id").isNotNull() & F.col("text").isNotNull()
     )
-    hashed = texts.select("id", "text", _hashes(words_of(F.col("text"))).alias("h"))
-    seeds = _seeds(asked.where(F.size("h") >= SPAN), "item").groupBy("seed").agg(
-        F.collect_set(F.struct("item", F.col("at").alias("item_at"))).alias("places")
-    )
-    bounded = seeds.count() <= MAX_BROADCAST
-    found = _seeds(hashed.select("id", "h"), "id").join(F.broadcast(seeds) if bounded else seeds, "seed")
-    hits = found.select("id", "at", F.explode("places").alias("p")).select(
-        "id", "p.item", (F.col("at") - F.col("p.item_at")).alias("offset")
-    )
+    hashed = texts.select("id", _hashes(words_of(F.col("text"))).alias("h"))
+    # At most SPAN - 1 numbers.
+    lengths = sorted(r[0] for r in contents.select(F.size("h")).where(F.size("h") < SPAN).distinct().collect())
+    seeds, asking = _seeds(contents, "content"), _seeds(hashed, "id")
+    if lengths:
+        short = contents.where(F.size("h") < SPAN)
+        seeds = seeds.union(_pieces(short, "content", lengths).where("at = 0"))
+        asking = asking.union(_pieces(hashed, "id", lengths))
+    known = seeds.select("seed").distinct()
+    if known.count() <= MAX_BROADCAST:
+        asking = asking.join(F.broadcast(known), "seed", "left_semi")
+    places = seeds.select("seed", F.col("content").alias("item"), F.col("at").alias("item_at"))
+    hits = asking.join(places, "seed").select("id", "item", (F.col("at") - F.col("item_at")).alias("offset"))
     hits = hits.distinct()
 
     by_text = hits.groupBy("id").agg(F.collect_set(F.struct("item", "offset")).alias("hits"))
     placed = texts.join(by_text, "id").select("id", _hashes(words_of(F.col("text"))).alias("h"), "hits")
     placed = placed.select("id", "h", F.explode("hits").alias("hit"))
-    known = asked.select("item", F.col("h").alias("own"))
-    known = F.broadcast(known) if bounded else known
-    side = placed.select("id", "h", "hit.item", "hit.offset").join(known, "item")
+    own = contents.select(F.col("content").alias("item"), F.col("h").alias("own"))
+    side = placed.select("id", "h", "hit.item", "hit.offset").join(own, "item")
     start, end = F.greatest("offset", F.lit(0)), F.least(F.col("offset") + F.size("own"), F.size("h"))
     x, y = F.slice("h", start + 1, end - start), F.slice("own", start - F.col("offset") + 1, end - start)
     side = side.select("id", "item", start.alias("start"), F.size("own").alias("n"), F.zip_with(x, y, lambda a, b: a == b).alias("same"))
@@ -97,7 +125,11 @@ def overlaps(
     side = side.where(F.size(F.filter("same", lambda x: x)) >= enough)
     checked = side.select("id", "item", "start", "n", stretch(F.col("same"), percent).alias("s"))
     good = checked.where(F.col("s.best_equal") >= enough)
-    return _best(good, id_col, item_col)
+    members = asked.join(contents, "h").select("item", "content")
+    best = _best(good, "id", "content").join(members, "content")
+    return best.select(
+        F.col("id").alias(id_col), F.col("item").alias(item_col), "matched_words", "compared_words", "first_word"
+    )
 
 
 def stretch(same: Column, percent: int) -> Column:

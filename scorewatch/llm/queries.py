@@ -133,6 +133,51 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN f.first <> page_id THEN f.first END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)"""
 
+def leak_sql() -> str:
+    """Seeds, offsets and stretches in SQL, on words where the operator takes hashes."""
+
+    def seeds(table: str, key: str) -> str:
+        span = decontaminate.SPAN
+        spaced = [
+            f"SELECT {key}, spot, {m} AS mask, concat_ws(' ', {', '.join(f'w[spot + {k}]' for k in mask)}) AS seed "
+            f"FROM (SELECT {key}, w, unnest(range(1, len(w) - {span} + 2)) AS spot FROM {table} WHERE len(w) >= {span})"
+            for m, mask in enumerate(decontaminate.MASKS)
+        ]
+        whole = f"SELECT {key}, 1 AS spot, -len(w) AS mask, array_to_string(w, ' ') AS seed FROM {table}"
+        if table == "i":
+            return " UNION ALL ".join([*spaced, f"{whole} WHERE len(w) < {span}"])
+        short = [
+            f"SELECT {key}, spot, {-n} AS mask, array_to_string(list_slice(w, spot, spot + {n - 1}), ' ') AS seed "
+            f"FROM (SELECT {key}, w, unnest(range(1, len(w) - {n} + 2)) AS spot FROM {table} WHERE len(w) >= {n})"
+            for n in range(decontaminate.ALONE, span)
+        ]
+        return " UNION ALL ".join([*spaced, *short, f"{whole} WHERE len(w) < {decontaminate.ALONE}"])
+
+    words = r"regexp_extract_all(lower(text), '[^ \t\n\x0B\f\r]+') AS w"
+    return f"""
+WITH d AS (SELECT doc_id, {words} FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+i AS (SELECT DISTINCT item_id, {words} FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+di AS ({seeds("d", "doc_id")}),
+ii AS ({seeds("i", "item_id")}),
+hits AS (SELECT DISTINCT doc_id, item_id, di.spot - ii.spot AS shift FROM di JOIN ii USING (mask, seed)),
+pairs AS (
+  SELECT doc_id, item_id, shift, d.w AS x, i.w AS y, unnest(range(1, len(i.w) + 1)) AS k
+  FROM hits JOIN d USING (doc_id) JOIN i USING (item_id)),
+same AS (
+  SELECT doc_id, item_id, shift, len(y) AS n, k, row_number() OVER (PARTITION BY doc_id, item_id, shift, y ORDER BY k) AS r, y
+  FROM pairs WHERE k + shift BETWEEN 1 AND len(x) AND x[k + shift] = y[k]),
+stretches AS (
+  SELECT doc_id, item_id, shift, y, a.n, z.r - a.r + 1 AS equal, z.k - a.k + 1 AS size, a.k + shift - 1 AS place
+  FROM same a JOIN same z USING (doc_id, item_id, shift, y)
+  WHERE z.r >= a.r AND 100 * (z.r - a.r + 1) >= {decontaminate.PERCENT} * (z.k - a.k + 1)
+  QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, shift, y ORDER BY z.r - a.r DESC, z.k - a.k, a.k) = 1)
+SELECT doc_id, item_id, equal AS matched_words, size AS compared_words, place AS first_word FROM stretches
+WHERE equal >= least({decontaminate.LEAST}, n)
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, y ORDER BY equal DESC, place, size DESC) = 1"""
+
+
+ORACLES["op5_decontamination"] = leak_sql()
+
 # The windows' words themselves are compared, where the operator takes hashes of 96 bits.
 ORACLES["op7_substring_dedup"] = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+') AS w FROM documents),

@@ -1,6 +1,7 @@
 """Corpus operators over documents, against brute force on small frames and tables."""
 
 import hashlib
+import itertools
 import re
 from collections import defaultdict
 
@@ -428,6 +429,42 @@ def test_stretches_equal_brute_force(spark):
             assert found == stretch_by_force(rows[r.k], percent), (percent, rows[r.k])
 
 
+def test_recall_over_all_places_of_replaced_words(spark, docs):
+    """Every way to replace words of an item against comparing them at offset 0, whatever the seeds find."""
+    total, missed, rows, items = 0, 0, [], []
+    for n, gone in ((14, 1), (15, 2), (16, 3), (17, 4)):
+        items.append((n, " ".join(f"n{n}w{i}" for i in range(n))))
+        for at in itertools.combinations(range(n), gone):
+            same = [i not in at for i in range(n)]
+            assert -stretch_by_force(same, 75)[0] >= 13
+            rows.append((len(rows), " ".join(f"n{n}w{i}" if x else f"new{i}" for i, x in enumerate(same))))
+    found = decontaminate.overlaps(docs(rows), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    least = {r.doc_id: r.item_id for r in found}
+    size = {k: len(t.split()) for k, t in rows}
+    assert all(size[k] == n for k, n in least.items())
+    for k, n in size.items():
+        total, missed = total + (n == 17), missed + (n == 17 and k not in least)
+        assert n == 17 or k in least
+    assert (total, missed) == (2380, 1)
+
+
+def test_short_items(spark, docs):
+    items = [(1, "one two three four five six"), (2, "One  two\nthree four five six"), (3, "yes it is"), (4, "a b c d e f g h"), (5, "no")]
+    rows = [(1, "x one two three four five six y"), (2, "one two three four five"), (3, "Yes it is"), (4, "yes it is so"),
+            (5, "one two three x four five six"), (6, "z a b c d e f g h"), (7, "a b c d e f g x h " * 9), (8, "no no")]
+    found = decontaminate.overlaps(docs(rows), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {tuple(r) for r in found} == {(1, 1, 6, 6, 1), (1, 2, 6, 6, 1), (3, 3, 3, 3, 0), (6, 4, 8, 8, 1)}
+
+
+def test_leaks_beyond_the_broadcast_bound(spark, docs, monkeypatch):
+    items = spark.createDataFrame([(k, " ".join(f"i{k}_{i}" for i in range(20))) for k in range(3)] + [(9, "p q r s t u")], "item_id bigint, text string")
+    rows = [(k, "before " + " ".join(f"i{k % 3}_{i}" for i in range(2, 18))) for k in range(9)] + [(10, "o p q r s t u")]
+    small = sorted(map(tuple, decontaminate.overlaps(docs(rows), items).collect()))
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST", 0)
+    large = decontaminate.overlaps(docs(rows), items)
+    assert len(small) == 10 and sorted(map(tuple, large.collect())) == small
+
+
 def test_leaks_whose_gain_peaks_early(spark, docs):
     """Every two replaced words in an item of 16 are verified where a seed hits, and two long examples."""
     cases, seeded = [], set()
