@@ -5,9 +5,14 @@ the longest of its character n-grams that were seen in training, then to shorter
 step at a discount. A text takes the language with the best mean over its words; the score
 is that language's share after a softmax of the means.
 
-Fitting: a bounded sample of labelled rows, at most `max_texts` (those with the smallest hash
-of their id, so the same at any partitioning); rows without text or label are left out. Word
-and n-gram counts of the sample are summed by Spark. Scoring reads every row and whole texts.
+Fitting: a bounded sample of labelled rows, at most `max_texts` (or one for each language and
+cell, if those are more) and about `max_bytes` of their texts, in equal shares for all languages,
+so that a rare one has its rows in it. A language's rows fall into CELLS by a hash of id and text;
+each cell gives those with the smallest hash, whole texts, up to its share; repeated rows are taken
+once, rows without text or label not at all. Words and n-grams of the sample are counted by Spark, and all of them are kept: what a
+model knows is bounded by the sample alone. A term that a language lacks has one value in all
+languages, so that few rows of a language do not make what it never had likely.
+Scoring reads every row and whole texts.
 
 Null texts and texts without letters give `und` and score 0. With no labelled row at all
 every text gives `und`. Ties go to the language first in the alphabet. Repeated rows are
@@ -22,14 +27,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 UNKNOWN = "und"
-#: Labelled texts a model is fitted on at most, and the words and n-grams it keeps.
-MAX_TEXTS = 4_000
-MAX_TERMS = 200_000
+#: Labelled texts a model is fitted on at most, and their bytes.
+MAX_TEXTS, MAX_BYTES = 4_000, 32_000_000
+#: Parts of a language's rows, each with its share of the sample.
+CELLS = 8
+#: Times that a term is taken to be seen in a language that lacks it.
+UNSEEN = 0.01
 LONGEST, BACKOFF = 5, 0.4
 #: Unseen words kept with their rows in one task, and texts scored between two results.
 MEMO, ROWS = 300_000, 500
@@ -130,6 +138,22 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _TERMS = pa.schema([("lang", pa.string()), ("n", pa.int32()), ("term", pa.string()), ("count", pa.int64())])
 
 
+def drawn(rows: DataFrame, texts: int, size: int) -> DataFrame:
+    """Of each cell of a language its first rows by hash: so many texts at most, and no more once
+    those before have `size` bytes. Only hashes and sizes are ranked, and no more than `texts` of a
+    cell go to the task that does it; the texts are then read by their hash."""
+    keyed = rows.withColumn("draw", F.xxhash64("id", "text", "lang"))
+    cell = F.pmod("draw", F.lit(CELLS))
+    own = Window.partitionBy("lang", "cell").orderBy("draw")
+    sized = keyed.select("lang", cell.alias("cell"), "draw", F.octet_length("text").cast("bigint").alias("bytes"))
+    first = sized.withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= texts)
+    before = F.sum("bytes").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    chosen = first.withColumn("before", before).where(F.coalesce("before", F.lit(0)) <= size).select("draw").distinct()
+    # Repeated rows have one hash and are taken once.
+    found = keyed.join(F.broadcast(chosen), "draw").groupBy("draw").agg(F.min(F.struct("lang", "text")).alias("row"))
+    return found.select("row.lang", "row.text")
+
+
 def fit(
     docs: DataFrame,
     labelled: Column,
@@ -137,25 +161,21 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     max_texts: int = MAX_TEXTS,
-    max_terms: int = MAX_TERMS,
+    max_bytes: int = MAX_BYTES,
 ) -> LanguageModel:
     """Learn from rows where `labelled` holds; what reaches the driver is bounded by the parameters."""
     rows = docs.where(labelled).select(
         docs[id_col].cast("string").alias("id"), docs[lang_col].cast("string").alias("lang"), docs[text_col].alias("text")
     )
     rows = rows.where("lang IS NOT NULL AND text IS NOT NULL")
-    draw = F.xxhash64("id")
-    chosen = rows.select(draw.alias("draw")).orderBy("draw").limit(max_texts).agg(F.max("draw"), F.count("*")).first()
-    if not chosen[1]:
+    languages = rows.select("lang").distinct().count()
+    if not languages:
         return LanguageModel([], {}, {}, np.zeros((0, 0), np.float32), np.zeros(0))
-    sample = rows.where(draw <= F.lit(chosen[0])).select("lang", "text")
+    sample = drawn(rows, max(1, max_texts // (languages * CELLS)), max_bytes // (languages * CELLS))
     counts = sample.mapInArrow(_terms, "lang string, n int, term string, count bigint")
     by_lang = counts.groupBy("n", "term", "lang").agg(F.sum("count").alias("count"))
-    cells = by_lang.groupBy("n", "term").agg(
-        F.collect_list(F.struct("lang", "count")).alias("by_lang"), F.sum("count").alias("total")
-    )
-    top = cells.orderBy(F.desc("total"), "n", "term").limit(max_terms)
-    rows = top.select("n", "term", "by_lang.lang", "by_lang.count").toArrow()
+    cells = by_lang.groupBy("n", "term").agg(F.collect_list(F.struct("lang", "count")).alias("by_lang"))
+    rows = cells.select("n", "term", "by_lang.lang", "by_lang.count").toArrow()
     length, terms = rows["n"].to_numpy(), rows["term"].to_pylist()
     lists = rows["lang"].combine_chunks()
     langs, counts = lists.flatten(), rows["count"].combine_chunks().flatten().to_numpy()
@@ -171,7 +191,8 @@ def fit(
     for n in range(LONGEST + 1):
         at = np.flatnonzero(length == n)
         total = table[at].sum(axis=0) + 1
-        logs[at] = np.log(table[at] + 0.01) - np.log(total)
+        seen = np.log(np.maximum(table[at], 1)) - np.log(total)
+        logs[at] = np.where(table[at] > 0, seen, np.log(UNSEEN) - np.log(total.max()))
         (grams if n else words).update((terms[i], int(i)) for i in at)
         floor = np.minimum(floor, -np.log(total).mean())
     return LanguageModel(languages, words, grams, logs, floor)

@@ -2,12 +2,14 @@
 
 import hashlib
 import itertools
+import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
 import tokenizers
 from llm_cases import ODD
 
@@ -346,6 +348,75 @@ def test_language_backoff_and_odd_rows(spark, docs):
     assert {r.lang_pred for r in language.predict(docs([(1, "the")]), nothing).collect()} == {"und"}
 
 
+def languages_by_force(rows, text):
+    """Language and share of a text by the rule, with a counter for each language and length."""
+    seen = defaultdict(Counter)
+    for lang, t in rows:
+        for w in regex.findall(r"\p{L}[\p{L}\p{M}]*", t.lower()):
+            seen[lang, 0][w] += 1
+            for n in range(1, 6):
+                seen[lang, n].update(f"<{w}>"[i : i + n] for i in range(len(w) + 3 - n))
+    langs = sorted({lang for lang, _ in rows})
+    totals = {(x, n): 1 + seen[x, n].total() for x in langs for n in range(6)}
+
+    def term(n, x):
+        if not any(seen[lang, n][x] for lang in langs):
+            return None
+        none = math.log(0.01) - math.log(max(totals[lang, n] for lang in langs))
+        return np.array([math.log(seen[k, n][x]) - math.log(totals[k, n]) if seen[k, n][x] else none for k in langs])
+
+    def word(w):
+        if (known := term(0, w)) is not None:
+            return known
+        for n in range(5, 0, -1):
+            found = [t for i in range(len(w) + 3 - n) if (t := term(n, f"<{w}>"[i : i + n])) is not None]
+            if found:
+                return np.mean(found, axis=0) + (6 - n) * math.log(0.4)
+        return np.full(len(langs), min(-np.mean([math.log(totals[k, n]) for k in langs]) for n in range(6)))
+
+    words = [word(w) for w in regex.findall(r"\p{L}[\p{L}\p{M}]*", text.lower())]
+    if not words:
+        return "und", 0.0
+    share = np.exp(np.mean(words, axis=0) - np.max(np.mean(words, axis=0)))
+    return langs[int(share.argmax())], float(share.max() / share.sum())
+
+
+def test_languages_equal_brute_force(spark, sf_dir, docs):
+    source = table(spark, sf_dir, "documents").where("doc_id % 5 < 2 AND lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
+    model = language.fit(source, source.doc_id % 5 == 0, max_texts=100_000)
+    rows = [(r.lang, r.text) for r in source.where("doc_id % 5 = 0").collect()]
+    asked = [(r.doc_id, r.text) for r in source.where("doc_id % 5 = 1").limit(25).collect()]
+    asked += [(-1, "zzqxj qqqq"), (-2, "漢字 ß"), (-3, "12"), (-4, "the"), (-5, "Les maisons, der Hund & los perros")]
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(docs(asked), model).collect()}
+    for k, text in asked:
+        lang, score = languages_by_force(rows, text)
+        assert found[k][0] == lang and found[k][1] == pytest.approx(score, abs=1e-4), text
+
+
+def test_rare_languages_keep_their_words(spark, docs):
+    """One row in 10,000 is in the sample with all its words, and takes no text of the others."""
+    rare = "kissa istuu puussa ja koira juoksee pihalla"
+    draw = np.random.default_rng(5)
+    rows = [(k, " ".join(f"{x}ing" for x in draw.choice(["sing", "walk", "talk", "read", "cook"], 6)), "en") for k in range(10_000)]
+    rows = spark.createDataFrame([*rows, (10_000, rare, "fi")], "doc_id bigint, text string, lang string")
+    model = language.fit(rows, rows.doc_id >= 0, max_texts=200)
+    assert model.languages == ["en", "fi"] and set(rare.split()) <= set(model.words)
+    asked = [(1, "koira istuu"), (2, "walking and talking"), (3, "unheard things")]
+    assert [r.lang_pred for r in language.predict(docs(asked), model).orderBy("doc_id").collect()] == ["fi", "en", "en"]
+
+
+def test_sample_bounds(spark):
+    """So many rows and bytes of each language, the same at any partitioning; repeated and anonymous rows once."""
+    rows = [(k, f"{'ab'[k % 2]} text {k}", "ab"[k % 2]) for k in range(2_000)] + [(None, "none", "c")] * 500 + [(-1, "x" * 9_000, "d")]
+    frame = spark.createDataFrame(rows, "id bigint, text string, lang string")
+    found = [sorted(map(tuple, language.drawn(f, 10, 10**6).collect())) for f in (frame.repartition(7), frame.coalesce(1))]
+    assert found[0] == found[1]
+    assert Counter(lang for lang, _ in found[0]) == {"a": 80, "b": 80, "c": 1, "d": 1}
+    assert {len(t) for lang, t in language.drawn(frame, 10, 0).collect() if lang == "d"} == {9_000}
+    small = Counter(r.lang for r in language.drawn(frame, 10, 20).collect())
+    assert small["c"] == small["d"] == 1 and 8 < small["a"] < 80
+
+
 def test_quality_of_held_out_documents(spark):
     sf_dir = "/root/testdata/sf0.01"
     found = {r.doc_id: r for r in QUERIES["op4_quality_classifier"](spark, sf_dir).collect()}
