@@ -68,17 +68,18 @@ class Scanner:
         words = plain_words(text)
         places, base = [], set()
         for phrase, label in BASE.items():
-            needle, at = f" {phrase} ".encode(), -1
+            needle, at, word, seen = f" {phrase} ".encode(), -1, 0, 0
             while (at := words.find(needle, at + 1)) >= 0:
-                places.append(words.count(b" ", 0, at))
+                word, seen = word + words.count(b" ", seen, at), at
+                places.append(word)
                 base.add(label)
         kept = resolve(self.detections(words))
         labels = base | {self.rules[i][0] for *_, i in kept}
         score = max([p for _, _, p, _ in kept] + [BASE_PRIORITY] * bool(places), default=0) / 100
-        spans = [
-            {"label": self.rules[i][0], "start": words.count(b" ", 0, a) - 1, "end": words.count(b" ", 0, b)}
-            for a, b, _, i in kept
-        ]
+        spans, word, seen = [], -1, 0
+        for a, b, _, i in kept:
+            word, seen = word + words.count(b" ", seen, a), a
+            spans.append({"label": self.rules[i][0], "start": word, "end": word + 1 + words.count(b" ", a, b)})
         return (
             max(0, words.count(b" ") - 1),
             len(places),

@@ -3,7 +3,9 @@
 import hashlib
 import itertools
 import math
+import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -105,6 +107,77 @@ def test_both_spellings_and_the_copyright_sign():
         assert label in scanner.scan(text)[5].split(","), text
 
 
+def labels_by_force(text):
+    """Every rule on every text without a prefilter; of any two detections the one within the other goes."""
+    low = {i: i + 32 for i in range(65, 91)}
+    found = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(low))
+    line = "".join(f" {w}" for w in found) + " "
+    hits = [
+        (line.count(" ", 0, m.start()), line.count(" ", 0, m.end()), p, i, label)
+        for i, (label, p, _, pattern) in enumerate(licenses.build())
+        for m in re.finditer(f" (?:{pattern})(?= )", line, re.ASCII)
+    ]
+
+    def beaten(hit, by):
+        a, b, p, i, _ = hit
+        x, y, q, j, _ = by
+        return x <= a and b <= y and ((x, y) != (a, b) and q >= p or (x, y) == (a, b) and (-q, j) < (-p, i))
+
+    kept = [h for h in hits if not any(beaten(h, other) for other in hits)]
+    line = f" {' '.join(found)} "
+    base = {label for phrase, label in licenses.BASE.items() if f" {phrase} " in line}
+    score = max([h[2] for h in kept] + [licenses.BASE_PRIORITY] * bool(base), default=0) / 100
+    return ",".join(sorted(base | {h[4] for h in kept})), score, sorted((h[0], h[1], h[4]) for h in kept)
+
+
+def by_operator(scanner, text):
+    *_, labels, score, spans = scanner.scan(text)
+    return labels, score, sorted((s["start"], s["end"], s["label"]) for s in spans)
+
+
+def test_license_labels_equal_those_by_force(spark, sf_dir):
+    found = {r.doc_id: r for r in QUERIES["op1_license_scan"](spark, sf_dir).collect()}
+    for k, text in texts_of(spark, sf_dir)[:150]:
+        assert (found[k].labels, found[k].score) == labels_by_force(text)[:2], k
+    pieces = [x for _, _, _, pattern in licenses.build() for x in alternatives(re._parser.parse(pattern))[::7]]
+    draw, scanner = random.Random(3), licenses.Scanner()
+    for _ in range(150):
+        text = draw.choice([" ", "-", ". ", ", "]).join(
+            draw.choice(pieces) if draw.random() < 0.7 else draw.choice(["the", "MIT", "GPL", "версия", "2.0", "licence", "or later"])
+            for _ in range(draw.randrange(1, 12))
+        )
+        assert by_operator(scanner, text) == labels_by_force(text), text
+    for text in (None, "", " \n", "©", "GPL " * 3, "İ the GPL ſ", "CC BY 4.0" * 50):
+        assert by_operator(scanner, text) == labels_by_force(text), text
+
+
+def test_license_short_forms_clauses_and_full_texts():
+    scanner = licenses.Scanner()
+    for text, label in (
+        ("Licensed under the GPL", "gpl"), ("released under the LGPL.", "lgpl"), ("GPLv3", "gpl-3.0"), ("LGPLv2.1+", "lgpl-2.1"),
+        ("Apache-2.0", "apache-2.0"), ("under Apache 2 license", "apache-2.0"), ("the BSD 3-Clause License", "bsd-3-clause"),
+        ("two-clause BSD", "bsd-2-clause"), ("New BSD license", "bsd-3-clause"), ("MIT-licensed", "mit"), ("\"license\": \"ISC\"", "isc"),
+        ("released under the terms of the MIT", "mit"), ("dual-licensed under MIT", "mit"), ("a BSD-style license", "bsd-like"),
+        ("version 2 of the GNU General Public License", "gpl-2.0"), ("GPL-2.0-or-later", "gpl-2.0"), ("0BSD", "0bsd"),
+        ("The licenses for most software are designed to take away your\nfreedom to share and change it.", "gpl-2.0"),
+        ("The Software shall be used for Good, not Evil.", "json"), ("Open Government Licence v3.0", "ogl"),
+        ("All advertising materials mentioning features or use of this software must display the following acknowledgement", "bsd-4-clause"),
+        ("No part of this book may be reproduced", "proprietary"), ("Reprinted with permission", "permission"),
+    ):
+        assert label in scanner.scan(text)[5].split(","), text
+    for text in ("wir gehen mit ihm unter dem Dach", "a boost for the region", "the new epl season", "committed under the bridge", "the ruby ring"):
+        assert scanner.scan(text)[5] == "", text
+
+
+def test_license_scan_of_a_long_text_is_linear():
+    text = "CC BY 4.0, GPL. " * 100_000
+    begun = time.monotonic()
+    n_words, n_base, first, last, _, labels, _, spans = licenses.Scanner().scan(text)
+    assert (n_words, n_base, first, last) == (500_000, 100_000, 0, 499_995) and len(spans) == 200_000
+    assert labels == "cc-by,cc-by-4.0,gpl" and spans[-1] == {"label": "gpl", "start": 499_999, "end": 500_000}
+    assert time.monotonic() - begun < 20
+
+
 # --- near duplicates ---------------------------------------------------------------
 
 
