@@ -3,14 +3,15 @@
 The vocabulary is read from a public tokenizer file given by path; nothing is trained.
 Inputs: `id` of any type, text. Null text counts as empty and gives no tokens. Repeated
 rows are encoded each for itself; other columns are ignored, whatever their names. An
-empty table gives an empty table. A word is merged in n log n steps, so that a text of one
-unbroken word is no special case.
+empty table gives an empty table. A word is merged in n log n steps: many words of like
+length side by side in one matrix of trees, few long ones each in a tree of its own.
 """
 
 from __future__ import annotations
 
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +25,8 @@ PLACE = (1 << 32) - 1
 #: Pieces kept with their ids in one Python worker (twice as many at most), and their
 #: longest length.
 MEMO, MEMO_CHARS = 250_000, 48
-#: Symbols that are merged side by side, but for longer words.
-CELLS = 1 << 17
+#: Symbols that are merged side by side, and the fewest words for which that pays.
+CELLS, TOGETHER = 1 << 17, 32
 #: Texts encoded between two results.
 ROWS = 500
 
@@ -54,6 +55,7 @@ class WordBpe:
         self.keys = keys[self.ranks]
         self.merged = np.array([self.vocab[a + b] for a, b in pairs], np.int64)[self.ranks]
         letters = byte_letters()
+        self.pairs = dict(zip(self.keys.tolist(), zip(self.ranks.tolist(), self.merged.tolist()), strict=True))
         self.plain = np.array([self.vocab[c] for c in letters], np.int64)
         self.final = np.array([self.vocab[c + self.end] for c in letters], np.int64)
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
@@ -81,7 +83,9 @@ class WordBpe:
             step = max(1, CELLS >> power)
             for at in range(0, len(members), step):
                 group = members[at : at + step]
-                for k, ids in zip(group, self._merge([spelled[k] for k in group], 1 << power), strict=True):
+                few = len(group) < TOGETHER
+                raw = [spelled[k] for k in group]
+                for k, ids in zip(group, map(self._merge_one, raw) if few else self._merge(raw, 1 << power), strict=True):
                     out[k] = ids
         return out
 
@@ -129,6 +133,52 @@ class WordBpe:
                     node[rows, p] = np.minimum(node[rows, 2 * p], node[rows, 2 * p + 1])
         return np.split(ids[inside], np.cumsum(inside.sum(1))[:-1])
 
+    def _merge_one(self, word: bytes) -> np.ndarray:
+        """The same tree for a single word; a change climbs only as far as it is felt."""
+        n = len(word)
+        ids = array("q", self.plain[np.frombuffer(word, np.uint8)].tobytes())
+        ids[-1] = self.final[word[-1]]
+        width = 1 << max(n - 2, 0).bit_length()
+        rank, _ = self.pair(*(np.frombuffer(x, np.int64) for x in (ids[:-1], ids[1:])))
+        level = np.full(width, NONE, np.int64)
+        level[: n - 1] = np.where(rank < NONE, rank << 32 | np.arange(n - 1), NONE)
+        levels = [level]
+        while len(level) > 1:
+            level = np.minimum(level[::2], level[1::2])
+            levels.append(level)
+        node = array("q", np.concatenate([[NONE], *levels[::-1]]).tobytes())
+        after, before = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
+
+        def put(i: int, value: int) -> None:
+            p = width + i
+            node[p] = value
+            while p > 1:
+                least = min(node[p], node[p ^ 1])
+                p >>= 1
+                if node[p] == least:
+                    break
+                node[p] = least
+
+        def rank_at(i: int, j: int) -> int:
+            found = self.pairs.get(ids[i] << 16 | ids[j])
+            return found[0] << 32 | i if found else NONE
+
+        while node[1] < NONE:
+            i = node[1] & PLACE
+            j = after[i]
+            ids[i] = self.pairs[ids[i] << 16 | ids[j]][1]
+            ids[j] = -1
+            right, left = after[j], before[i]
+            after[i] = right
+            if right < n:
+                before[right] = i
+                put(j, NONE)
+            put(i, rank_at(i, right) if right < n else NONE)
+            if left >= 0:
+                put(left, rank_at(left, i))
+        left = np.frombuffer(ids, np.int64)
+        return left[left >= 0]
+
     def _learn(self, pieces: list[str], ids: dict[str, bytes]) -> None:
         """Put the ids of what stands between two blanks into `ids`."""
         # One letter at a time, so that a sigma at a word's end is no other letter.

@@ -387,6 +387,24 @@ def test_bpe_equals_the_library(spark, sf_dir):
             assert ours.decode(raw) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_trees_agree_on_words_of_any_length():
+    ours, draw = bpe.WordBpe(TOKENIZER), random.Random(5)
+    for n in (1, 2, 3, 4, 5, 8, 9, 17, 64, 65, 300):
+        words = ["".join(draw.choices(letters, k=n)) for letters in ("ab", "eats", "abcdefghijklmnop", "é한z", "a") for _ in range(8)]
+        side_by_side = ours._merge([w.encode() for w in words], 1 << (max(len(w.encode()) for w in words) - 1).bit_length())
+        for w, ids in zip(words, side_by_side, strict=True):
+            assert ours._merge_one(w.encode()).tolist() == ids.tolist(), w
+
+
+def test_bpe_of_a_megabyte_without_a_blank():
+    ours, library, draw = bpe.WordBpe(TOKENIZER), tokenizers.Tokenizer.from_file(TOKENIZER), random.Random(6)
+    for text in ("".join(draw.choices("etaoinshrdlu", k=1_000_000)), "ab" * 100_000, "한" * 50_000):
+        begun = time.monotonic()
+        raw = ours.encode([text])[0]
+        assert time.monotonic() - begun < 60
+        assert np.frombuffer(raw, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_bpe_of_odd_rows(spark, docs):
     found = bpe.encode_texts(docs(ODD), TOKENIZER).collect()
     assert len(found) == len(ODD) and {r.n_tokens for r in found if r.doc_id in (1, 2, 3)} == {0}
