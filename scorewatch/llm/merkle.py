@@ -1,8 +1,9 @@
 """A Merkle manifest of a dataset: a digest for every row, subtree per source, and proofs.
 
-A row's leaf is the H of its columns, H being the lower-case hex SHA-256 of its inputs end to
-end: ``-`` for a null, else the number of UTF-8 bytes, ``:`` and the value. Leaves and their
-tampered twins are made by the JVM, so that only digests are shuffled.
+H is the lower-case hex SHA-256 of its inputs end to end. A row's leaf is the H of its columns,
+each as ``-`` for a null, else the number of UTF-8 bytes, ``:`` and the value; nodes and proofs
+are the H of digests as hex text, with or without their length before them (``framed``). Leaves
+and their tampered twins are made by the JVM, so that only digests are shuffled.
 
 1. Leaves are numbered within their source by ordered work over (source, id, leaf).
 2. ARITY ** LOCAL consecutive leaves are a superblock. One task per superblock reduces its leaves
@@ -39,6 +40,8 @@ from scorewatch.session import stage
 ARITY = 16
 #: Levels that one task reduces: a superblock holds ARITY ** LOCAL leaves.
 LOCAL = 2
+#: What stands before a digest that is framed as a column is.
+FRAME = "64:"
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -54,9 +57,9 @@ def digest_of(values: Sequence[Column]) -> Column:
     return F.sha2(F.concat(*[framed(c) for c in values]), 256)
 
 
-def digest(values: Sequence[str]) -> str:
-    """H of digests."""
-    return hashlib.sha256("".join(f"{len(v)}:{v}" for v in values).encode()).hexdigest()
+def digest(values: Sequence[str], frame: str = FRAME) -> str:
+    """H of digests, each with ``frame`` before it."""
+    return hashlib.sha256("".join(frame + v for v in values).encode()).hexdigest()
 
 
 def leaves(docs: DataFrame, tampered: Column, columns: Sequence[str] = COLUMNS, text_col: str = "text") -> DataFrame:
@@ -90,7 +93,7 @@ def numbered(rows: DataFrame) -> DataFrame:
     )
 
 
-def above(level: DataFrame) -> DataFrame:
+def above(level: DataFrame, frame: str = FRAME) -> DataFrame:
     """The level over (key, place, node, nodes): runs of ARITY nodes become one, beside the run.
 
     ``nodes`` is how many nodes the key has at a level. Where it has one, that node is done: it goes
@@ -98,7 +101,7 @@ def above(level: DataFrame) -> DataFrame:
     """
     run = F.sort_array(F.collect_list(F.struct("place", "node")))
     grouped = level.groupBy("key", F.floor(F.col("place") / ARITY).alias("up"), "nodes").agg(run.alias("run"))
-    framed = F.transform("run", lambda x: F.concat(F.octet_length(x["node"]).cast("string"), F.lit(":"), x["node"]))
+    framed = F.transform("run", lambda x: F.concat(F.lit(frame), x["node"]))
     hashed = F.col("nodes") > 1
     return grouped.select(
         "key",
@@ -110,7 +113,7 @@ def above(level: DataFrame) -> DataFrame:
     )
 
 
-def outer_nodes(bottom: DataFrame) -> tuple[DataFrame, DataFrame]:
+def outer_nodes(bottom: DataFrame, frame: str = FRAME) -> tuple[DataFrame, DataFrame]:
     """(key, place, outer) of every node of ``bottom``, and (key, root) of every key.
 
     ``outer`` lists the runs above a node, lowest first: its place in the run and the other members.
@@ -118,7 +121,7 @@ def outer_nodes(bottom: DataFrame) -> tuple[DataFrame, DataFrame]:
     most = bottom.agg(F.max("nodes")).first()[0] or 0
     level, levels = bottom, []
     while most > 1:
-        level = stage(above(level), "level")
+        level = stage(above(level, frame), "level")
         levels.append(level)
         most = -(-most // ARITY)
     paths = level.select("key", "place", F.array().cast("array<struct<at:int,others:array<string>>>").alias("outer"))
@@ -132,13 +135,13 @@ def outer_nodes(bottom: DataFrame) -> tuple[DataFrame, DataFrame]:
     return paths, level.select("key", F.col("node").alias("root"))
 
 
-def _levels(nodes: list[str], count: int, local: int) -> list[tuple[list[str], bool]]:
+def _levels(nodes: list[str], count: int, local: int, frame: str) -> list[tuple[list[str], bool]]:
     """The levels of a superblock below its node, and whether runs are hashed there."""
     levels = []
     for _ in range(local):
         levels.append((nodes, count > 1))
         if count > 1:
-            nodes = [digest(nodes[i : i + ARITY]) for i in range(0, len(nodes), ARITY)]
+            nodes = [digest(nodes[i : i + ARITY], frame) for i in range(0, len(nodes), ARITY)]
             count = -(-count // ARITY)
     return levels
 
@@ -152,27 +155,27 @@ def _siblings(levels: list[tuple[list[str], bool]], at: int) -> Iterator[tuple[i
             at //= ARITY
 
 
-def _fold(node: str, path: Sequence[tuple[int, list[str]]]) -> str:
+def _fold(node: str, path: Sequence[tuple[int, list[str]]], frame: str) -> str:
     for at, others in path:
-        node = digest([*others[:at], node, *others[at:]])
+        node = digest([*others[:at], node, *others[at:]], frame)
     return node
 
 
-def _proved(rows: pd.DataFrame, outer: pd.DataFrame, local: int) -> pd.DataFrame:
+def _proved(rows: pd.DataFrame, outer: pd.DataFrame, local: int, frame: str) -> pd.DataFrame:
     """One superblock: its leaves reduced, their proofs, and what each row folds to."""
     rows = rows.sort_values("place", kind="stable")
     above_ = outer.iloc[0]
     over = [(int(x["at"]), list(x["others"])) for x in above_["outer"]]
     beyond = [d for _, others in over for d in others]
-    levels = _levels(list(rows["node"]), int(rows["nodes"].iloc[0]), local)
+    levels = _levels(list(rows["node"]), int(rows["nodes"].iloc[0]), local, frame)
     roots: dict[str, str] = {}
     proofs, folded = [], []
     for at, changed in enumerate(rows["changed"]):
         within = list(_siblings(levels, at))
-        proofs.append(digest([d for _, others in within for d in others] + beyond))
-        node = _fold(changed, within)
+        proofs.append(digest([d for _, others in within for d in others] + beyond, frame))
+        node = _fold(changed, within, frame)
         if node not in roots:
-            roots[node] = _fold(node, over)
+            roots[node] = _fold(node, over, frame)
         folded.append(roots[node])
     return pd.DataFrame(
         {"id": rows["id"], "leaf": rows["node"], "subroot": above_["subroot"], "root": above_["root"],
@@ -186,25 +189,28 @@ def manifest(
     columns: Sequence[str] = COLUMNS,
     text_col: str = "text",
     local: int = LOCAL,
+    framed: bool = True,
 ) -> DataFrame:
     """(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified) of every row.
 
     ``columns`` begin with the id and the source. ``folded_root`` comes from the leaf after
     lower-casing A-Z of ``text_col`` where ``tampered`` holds, else from the row's own leaf.
+    Without ``framed``, digests stand end to end in the nodes and proofs.
     """
+    frame = FRAME if framed else ""
     rows = stage(numbered(leaves(docs, tampered, columns, text_col)), "leaves")
     blocks = rows.select("key", "place", "node", "nodes")
     for _ in range(local):
-        blocks = above(blocks).drop("run", "hashed")
+        blocks = above(blocks, frame).drop("run", "hashed")
     blocks = stage(blocks, "blocks")
-    within, subroots = outer_nodes(blocks)
+    within, subroots = outer_nodes(blocks, frame)
     one = F.lit(1).cast("bigint")
     sources = running_sums(subroots.withColumn("one", one), [], ["key"], {"place": "one"}, {"nodes": "one"})
     sources = sources.select(
         F.lit("").alias("key"), (F.col("place") - 1).alias("place"), F.col("root").alias("node"), "nodes", F.col("key").alias("source")
     )
     sources = stage(sources, "sources")
-    between, root = outer_nodes(sources.drop("source"))
+    between, root = outer_nodes(sources.drop("source"), frame)
     top = root.first()  # one digest
     ends = sources.join(between.drop("key"), "place").select(
         F.col("source").alias("key"),
@@ -217,7 +223,7 @@ def manifest(
     )
     kept = "id string, leaf string, subroot string, root string, proof_sha256 string, folded_root string"
     of_block = rows.withColumn("block", F.floor(F.col("place") / ARITY**local)).groupBy("key", "block")
-    proved = of_block.cogroup(outer.groupBy("key", "block")).applyInPandas(lambda r, o: _proved(r, o, local), kept)
+    proved = of_block.cogroup(outer.groupBy("key", "block")).applyInPandas(lambda r, o: _proved(r, o, local, frame), kept)
     id_type = docs.schema[columns[0]].dataType
     return proved.select(
         F.col("id").cast(id_type).alias("doc_id"),
