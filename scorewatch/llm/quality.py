@@ -223,7 +223,7 @@ def keep(docs: DataFrame, model: AttentionModel, least: float = 0.5, text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, words in word_slices(batch.column(place), size=1_000_000):
+            for i, j, words in word_slices(batch.column(place)):
                 yield batch.slice(i, j - i).filter(pa.array(shared.value.score(*encode(words)) >= least))
 
     return docs.mapInArrow(run, docs.schema)
